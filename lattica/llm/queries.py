@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import decontam, mixing, sharding
+from lattica.llm import decontam, mixing, sharding, toxicity
 from lattica.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.classify(docs.select("doc_id", "text"), model).select("doc_id", (~toxicity.in_training(F.col("doc_id"))).alias("held_out"), "score", "predicted")
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = sharding.reshard_plan(documents(spark, sf_dir))
     return plan.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
@@ -71,6 +77,7 @@ FROM rated
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_toxicity": op3_toxicity,
         "op5_sharding": op5_sharding,
         "op8_decontamination": op8_decontamination,
         "op10_mixing": op10_mixing,
