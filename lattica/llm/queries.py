@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import decontam, mixing, sharding, toxicity
+from lattica.llm import decontam, jaccard, mixing, sharding, toxicity
 from lattica.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -77,6 +81,7 @@ FROM rated
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard": op1_ngram_jaccard,
         "op3_toxicity": op3_toxicity,
         "op5_sharding": op5_sharding,
         "op8_decontamination": op8_decontamination,
