@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import decontam, jaccard, mixing, sharding, toxicity
+from lattica.llm import decontam, jaccard, mixing, sharding, substrings, toxicity
 from lattica.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(documents(spark, sf_dir), with_kept=False).drop("kept")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontam.benchmark_hits(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return hits.select(
@@ -84,6 +88,7 @@ def queries() -> dict[str, Query]:
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op3_toxicity": op3_toxicity,
         "op5_sharding": op5_sharding,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op8_decontamination": op8_decontamination,
         "op10_mixing": op10_mixing,
     }
