@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import decontam, jaccard, mixing, sharding, substrings, toxicity
+from lattica.llm import decontam, htmltext, jaccard, mixing, sharding, substrings, toxicity
 from lattica.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(documents(spark, sf_dir), with_kept=False).drop("kept")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontam.benchmark_hits(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return hits.select(
@@ -89,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op3_toxicity": op3_toxicity,
         "op5_sharding": op5_sharding,
         "op6_suffix_dedup": op6_suffix_dedup,
+        "op7_html_text": op7_html_text,
         "op8_decontamination": op8_decontamination,
         "op10_mixing": op10_mixing,
     }
