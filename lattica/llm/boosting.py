@@ -30,7 +30,7 @@ class Trees:
         return total
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 4, rate: float = 0.3, held: float = 1.0) -> Trees:
+def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 5, rate: float = 0.3, held: float = 1.0) -> Trees:
     """Newton boosting of the logistic loss over quantile bins; ``held`` is the ridge on leaf values."""
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1])) for f in range(x.shape[1])]
     binned = np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)], axis=1)

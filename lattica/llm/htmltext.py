@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from lattica.llm import boosting
 
 #: Pages that the trees are fitted to.
-PAGES = 500
+PAGES = 700
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -254,6 +254,8 @@ def features(pages: Sequence[Page]) -> tuple[np.ndarray, np.ndarray]:
         mains,
         text[parent] / np.repeat(all_text, sizes),
     ]
+    other = (1 << len(_GROUPS)) - 1 - (1 << _GROUPS.index("main"))
+    columns += [(flags & other) > 0, (above & other) > 0, ((flags | above) & other) > 0]
     columns += [tag == k for k in range(1, len(_TAGS) + 1)]
     columns += [flags >> k & 1 for k in range(len(_GROUPS) + 1)]
     columns += [above >> k & 1 for k in range(len(_GROUPS) + 1)]
