@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm import decontam, htmltext, jaccard, mixing, sharding, substrings, toxicity
+from lattica.llm import decontam, htmltext, jaccard, licenses, media, mixing, sharding, substrings, toxicity, warc
 from lattica.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,24 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+def op2_media_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.store_texts(documents(spark, sf_dir), with_media=False).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media_type")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.classify(docs.select("doc_id", "text"), model).select("doc_id", (~toxicity.in_training(F.col("doc_id"))).alias("held_out"), "score", "predicted")
 
 
+def op4_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' records against a replica in which about one record in 200 has a changed last character."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    hit = F.conv(F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 4), 16, 10).cast("int") % 200 == 0
+    replica = pages.withColumn("html", F.when(hit, F.concat(F.expr("substring(html, 1, length(html) - 1)"), F.lit("?"))).otherwise(F.col("html")))
+    return warc.audit(pages, replica)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = sharding.reshard_plan(documents(spark, sf_dir))
     return plan.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
@@ -48,6 +60,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(documents(spark, sf_dir))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -90,11 +106,14 @@ FROM rated
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op2_media_sniffing": op2_media_sniffing,
         "op3_toxicity": op3_toxicity,
+        "op4_warc_fixity": op4_warc_fixity,
         "op5_sharding": op5_sharding,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_html_text": op7_html_text,
         "op8_decontamination": op8_decontamination,
+        "op9_license_scan": op9_license_scan,
         "op10_mixing": op10_mixing,
     }
 
