@@ -13,7 +13,8 @@ the regions of that many shingles (its window) lets every linked pair meet.
 Within a region the document of least hash is the next pivot. Its distance to
 the others is computed exactly; what it links needs no comparing among itself.
 Only documents of regions that its links leave apart are compared further, in
-a window of distance to the pivot. Regions of over ``REGION`` documents that
+a window of distance to the pivot; where that would leave many pairs, further pivots, the
+heads of the largest components, go first. Regions of over ``REGION`` documents that
 are still apart are joined recursively: their documents form a smaller
 collection, in which the order puts shingles that are frequent there last.
 
@@ -46,6 +47,10 @@ SAMPLE, SHOWN = 8192, 3
 #: Compared with one pivot in one task.
 PER_TASK = 512
 LEVELS = 6
+#: More pivots are tried while regions hold more than DENSE pairs an entry that are still apart: so many a region and turn, for so many turns.
+PIVOTS, ROUNDS, DENSE = 8, 2, 8
+#: Rows of two numbers that may be broadcast.
+BROADCAST_ROWS = 1_000_000
 
 _NONE = np.zeros(0, np.uint64)
 
@@ -207,11 +212,15 @@ def _frequent(docs: DataFrame, count: int) -> np.ndarray:
 
 
 def _could_link(n: str, place: str, other_n: str, other_place: str) -> str:
-    """SQL: neither the sizes nor the places of a shared shingle rule out a link."""
+    """SQL: neither the sizes nor the places of the first shared shingle rule out a link.
+
+    A linked pair meets in the region of its first shared shingle, too, and
+    all that it shares lies from there on.
+    """
     total = NUMERATOR + DENOMINATOR
     return (
         f"{DENOMINATOR}L * least({n}, {other_n}) >= {NUMERATOR}L * greatest({n}, {other_n})"
-        f" and {total}L * (least({place}, {other_place}) + least({n} - {place}, {other_n} - {other_place})) >= {NUMERATOR}L * ({n} + {other_n})"
+        f" and {total}L * least({n} - {place}, {other_n} - {other_place}) >= {NUMERATOR}L * ({n} + {other_n})"
     )
 
 
@@ -259,15 +268,50 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 _LINKED = f"{DENOMINATOR}L * shared >= {NUMERATOR}L * (a_n + b_n - shared)"
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, a written table, marked for broadcast if it is small enough; if not, joins shuffle."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def _links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, reps: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """The links among candidate pairs, and all pairs that were compared on texts, with what they share."""
     near = written(_near(pairs, sketches), f"{name}-near")
     needed = near.select(F.col("a").alias("node")).union(near.select("b")).distinct().join(reps.select("node", F.col("doc_id").alias("_id")), "node")
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(needed, "_id")
-    compared = written(_confirm(near, texts.select("node", "text")), f"{name}-compared")
+    needed = _small(written(needed, f"{name}-needed"))
+    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(needed, "_id").select("node", "text")
+    compared = written(_confirm(near, texts), f"{name}-compared")
     return compared.where(_LINKED).select("a", "b"), compared
 
 
+def _apart(entries: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """Entries, with the labels of their nodes, of regions whose members have several labels."""
+    labelled = entries.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = labelled.groupBy("shingle").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("shingle")
+    return written(labelled.join(several, "shingle"), name)
+
+
+def _crossing(entries: DataFrame) -> tuple[int, int]:
+    """Pairs of members of one region with different labels, and entries, over all regions."""
+    counts = entries.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"))
+    row = counts.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("s")) / 2), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return int(row[0]), int(row[1])
+
+
+def _pivot_pairs(entries: DataFrame) -> DataFrame:
+    """Pairs of each region's pivots with all members of other components. Pivots are the central members of its PIVOTS largest components.
+
+    The more regions a node shares, relative to its size, the more of its
+    shingles others have: the more central it is.
+    """
+    central = entries.groupBy("node").agg((-F.count("*") / F.max("n")).alias("_central"))
+    heads = entries.join(central, "node").groupBy("shingle", "label").agg(F.count("*").alias("_n"), F.min(F.struct("_central", "node", "n", "place")).alias("_head"))
+    rank = F.row_number().over(Window.partitionBy("shingle").orderBy(F.desc("_n"), "label"))
+    heads = heads.withColumn("_rank", rank).where(F.col("_rank") <= PIVOTS)
+    heads = heads.select("shingle", F.col("label").alias("_label"), F.col("_head.node").alias("a"), F.col("_head.n").alias("an"), F.col("_head.place").alias("ap"))
+    pairs = entries.join(heads, "shingle").where("label <> _label").where(_could_link("n", "place", "an", "ap"))
+    return pairs.select("a", F.col("node").alias("b")).distinct()
+
+
 def _level(docs: DataFrame, nodes: DataFrame, sketches: DataFrame, reps: DataFrame, frequent: np.ndarray, links: DataFrame | None, last: bool, name: str) -> tuple[DataFrame, DataFrame]:
     """``links`` and what connects the level's nodes, but for pairs that only meet in regions too large; and the nodes of those regions.
 
@@ -282,17 +326,21 @@ def _level(docs: DataFrame, nodes: DataFrame, sketches: DataFrame, reps: DataFra
     to_pivot = to_pivot.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     found, compared = _links(to_pivot, sketches, docs, reps, f"{name}-pivots")
     links = found if links is None else links.unionByName(found)
-    labels = connected(links, f"{name}-labels")
-    open_ = regions.where("members > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    apart = open_.groupBy("shingle").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("shingle")
-    open_ = written(open_.join(apart, "shingle"), f"{name}-open")
+    open_ = _apart(regions.where("members > 2"), connected(links, f"{name}-labels"), f"{name}-open")
     put_off = open_.where((F.col("members") > REGION) & F.lit(not last))
     late = spark.createDataFrame(pa.table({"shingle": pa.array(frequent.view(np.int64), pa.int64())}))
     stuck = put_off.join(late, "shingle", "left_anti").select("node").distinct()
-    small = open_.where((F.col("members") <= REGION) | F.lit(last)).unionByName(put_off.join(late, "shingle", "left_semi"))
-    # distances to the pivot, where texts were compared, bound those between members
-    far = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("shared") / (F.col("a_n") + F.col("b_n") - F.col("shared"))).alias("far"))
-    small = small.where("node <> pivot").join(far, ["pivot", "node"], "left")
+    small = written(open_.where((F.col("members") <= REGION) | F.lit(last)).unionByName(put_off.join(late, "shingle", "left_semi")), f"{name}-small")
+    for turn in range(ROUNDS):
+        pairs, size = _crossing(small)
+        if pairs <= DENSE * size:
+            break
+        more, further = _links(_pivot_pairs(small), sketches, docs, reps, f"{name}-turn-{turn}")
+        links, compared = links.unionByName(more), compared.unionByName(further)
+        small = _apart(small, connected(links, f"{name}-turn-{turn}-labels"), f"{name}-turn-{turn}-open")
+    # distances to the region's first pivot, where texts were compared, bound those between members
+    far = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("shared") / (F.col("a_n") + F.col("b_n") - F.col("shared"))).alias("far")).groupBy("pivot", "node").agg(F.min("far").alias("far"))
+    small = small.join(far, ["pivot", "node"], "left")
     x, y = small.alias("x"), small.alias("y")
     window = F.expr(f"x.far is null or y.far is null or abs(x.far - y.far) <= {1 - NUMERATOR / DENOMINATOR} + 1e-9")
     pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")))
@@ -320,16 +368,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sketches = written(nodes.where("sketch is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch")), "jaccard-sketches")
     links, stuck = _level(docs, nodes, sketches, reps, frequent, None, False, "jaccard-0")
     for level in range(1, LEVELS + 1):
-        stuck = written(stuck, f"jaccard-{level}-stuck")
-        count = stuck.count()
+        ids = written(stuck.join(reps, "node").select("doc_id").distinct(), f"jaccard-{level}-stuck")
+        count = ids.count()
         if not count:
             break
-        ids = stuck.join(reps, "node").select("doc_id")
+        ids = _small(ids)
         part = written(docs.join(ids, "doc_id", "left_semi"), f"jaccard-{level}-docs")
         frequent = np.union1d(frequent, _frequent(part, count))
         own = spark.sparkContext.broadcast(frequent)
         below = written(part.mapInArrow(lambda b, own=own: _nodes(b, own.value), _NODES), f"jaccard-{level}-nodes")
-        links, stuck = _level(docs, below, sketches, reps, frequent, links, level == LEVELS, f"jaccard-{level}")
+        links, stuck = _level(part, below, sketches, reps, frequent, links, level == LEVELS, f"jaccard-{level}")
     labels = connected(links, "jaccard-labels")
     components = labels.join(reps, "node").groupBy("label").agg(F.min("doc_id").alias("least"))
     of_node = reps.join(labels, "node", "left").join(components, "label", "left").select("node", F.coalesce("least", "doc_id").alias("least"))
