@@ -32,7 +32,7 @@ LENGTH = 100
 GRAM = 36
 GRAMS = LENGTH - GRAM + 1
 #: Parts for each shuffle partition; a part is sorted at once, in memory.
-PARTS = 16
+PARTS = 8
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _NULL_ID = -(1 << 63)
