@@ -93,6 +93,13 @@ def _ordered(own: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.concatenate([own[~late], own[late]])
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what is made of one stays small."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 _NODES = "doc_id long, node long, n int, least binary, sketch binary"
 _NODE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("least", pa.binary()), ("sketch", pa.binary())])
 
@@ -100,7 +107,7 @@ _NODE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa
 def _nodes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Of each text its set's key and size, and, where the task meets the key for the first time, window and sketch."""
     met: set[int] = set()
-    for batch in batches:
+    for batch in _slices(batches):
         keys, sizes, least, sketch = [], [], [], []
         for own, doc_id in zip(text_sets(batch.column(1)), batch.column(0).to_pylist(), strict=True):
             key = set_key(own) if len(own) else None
@@ -191,7 +198,7 @@ def _frequent(docs: DataFrame, count: int) -> np.ndarray:
     parts = 32
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 2048):
             sets = text_sets(batch.column(1))
             own = np.concatenate(sets) if sets else _NONE
             part = (mix(own) % np.uint64(parts)).astype(np.int32)
@@ -249,7 +256,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot = _NONE
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             a, role, b = (batch.column(k).to_pylist() for k in (0, 2, 3))
             for i, own in enumerate(text_sets(batch.column(4))):

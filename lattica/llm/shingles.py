@@ -14,7 +14,7 @@ import numpy as np
 
 WIDTH = 5
 #: Bytes that are hashed at a time (or one text, if longer).
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)

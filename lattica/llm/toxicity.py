@@ -42,7 +42,7 @@ ROUNDS, PER_ROUND = 2, 40
 GRAM = 5
 LEVEL = 9
 #: Gains of windows that a process remembers.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 Gain = dict[bytes, int]
 
