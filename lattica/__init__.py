@@ -1,0 +1 @@
+"""A property-graph analytics engine on Spark DataFrames."""
