@@ -41,11 +41,17 @@ DICTIONARY_WORDS = 120
 ROUNDS, PER_ROUND = 2, 40
 GRAM = 5
 LEVEL = 9
+#: Features count up to so many standard deviations from their mean.
+REACH = 4.0
 #: Gains of windows that a process remembers.
 REMEMBERED = 150_000
 
 Gain = dict[bytes, int]
 
+#: Stands at the end of both dictionaries, and half of it before and half after each window. A short window alone would be
+#: stored as it is and show no gain, and no match is sought in the last few bytes.
+_LEAD = bytes(range(128, 160))
+
 
 def _words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().split()
@@ -92,7 +98,7 @@ def _telling_words(toxic: Sequence[set[bytes]], ordinary: Sequence[set[bytes]])
 
 def _content(words: Sequence[bytes]) -> bytes:
     """The best words last, where they cost least to point at; always of one length, so that distances compare."""
-    return (b" " + b" ".join(reversed(words)) + b" ")[-DICTIONARY_BYTES:].rjust(DICTIONARY_BYTES)
+    return (b" " + b" ".join(reversed(words)) + b" ")[-DICTIONARY_BYTES:].rjust(DICTIONARY_BYTES) + _LEAD
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -123,7 +129,7 @@ class Model:
         """Bytes that the toxic dictionary saves over the ordinary one."""
         if self._ready is None:
             self._ready = _compressor(self.toxic), _compressor(self.ordinary)
-        padded = b" " + window + b" "
+        padded = _LEAD[:16] + b" " + window + b" " + _LEAD[16:]
         return len(self._ready[1].compress(padded)) - len(self._ready[0].compress(padded))
 
     def counts(self, text: str | None) -> list[int]:
@@ -148,8 +154,9 @@ class Model:
     def scores(self, counts: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(counts), self.constant)
-        z = (_features(counts) - self.mean) / self.scale
-        return 1 / (1 + np.exp(-np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)))
+        z = np.clip((_features(counts) - self.mean) / self.scale, -REACH, REACH)
+        odds = 1 / (1 + np.exp(-np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)))
+        return np.where(counts[:, -1] > 0, odds, 0.0)
 
 
 def _features(counts: np.ndarray) -> np.ndarray:
@@ -185,8 +192,8 @@ def train(rows: Sequence[tuple[str | None, int]], share: float) -> Model:
 def _calibrate(model: Model, counts: np.ndarray, labels: np.ndarray, share: float) -> None:
     """Logistic weights by Newton's method, rows weighed to the share that the labels have in all."""
     x = _features(counts)
-    model.mean, model.scale = x.mean(0), x.std(0) + 1e-9
-    z = np.hstack([(x - model.mean) / model.scale, np.ones((len(x), 1))])
+    model.mean, model.scale = x.mean(0), x.std(0) + 0.05
+    z = np.hstack([np.clip((x - model.mean) / model.scale, -REACH, REACH), np.ones((len(x), 1))])
     rows = np.where(labels == 1, share / max(labels.mean(), 1e-9), (1 - share) / max(1 - labels.mean(), 1e-9))
     held = np.r_[np.full(x.shape[1], 0.3), 1e-3]
     w = np.zeros(z.shape[1])
@@ -219,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def score_udf(model: Model):  # noqa: ANN201
-    """A function of a text column: the score, from 0 to 1; null and empty texts have one too."""
+    """A function of a text column: the score, from 0 to 1; that of null texts and texts without words is 0."""
 
     @F.pandas_udf(T.DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
