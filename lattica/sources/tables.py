@@ -69,11 +69,11 @@ def commit_graph(spark: SparkSession, graph: Graph, root: str) -> str:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fresh, pointer = path(f"{root}/_current.{version}"), path(f"{root}/_current")
+    fresh, pointer = path(f"{root}/current-{version}.new"), path(f"{root}/current.json")
     stream = fs.create(fresh, True)
     stream.write(bytearray(json.dumps({"version": version}).encode()))
     stream.close()
-    options = jvm.java.lang.reflect.Array.newInstance(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(root).toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fresh, pointer, options)
     return version
@@ -82,7 +82,7 @@ def commit_graph(spark: SparkSession, graph: Graph, root: str) -> str:
 def read_graph(spark: SparkSession, root: str, version: str | None = None) -> Graph:
     """The current snapshot, or the one asked for."""
     if version is None:
-        version = json.loads(spark.read.option("wholetext", True).text(f"{root}/_current").first()[0])["version"]
+        version = json.loads(spark.read.option("wholetext", True).text(f"{root}/current.json").first()[0])["version"]
     nodes, edges = spark.read.parquet(f"{root}/{version}/nodes"), spark.read.parquet(f"{root}/{version}/edges")
     from lattica.operators.graph import EDGE_KEY
 
