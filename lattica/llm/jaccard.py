@@ -48,7 +48,7 @@ SAMPLE, SHOWN = 8192, 3
 PER_TASK = 512
 LEVELS = 6
 #: More pivots are tried while regions hold more than DENSE pairs an entry that are still apart: so many a region and turn, for so many turns.
-PIVOTS, ROUNDS, DENSE = 8, 2, 8
+PIVOTS, ROUNDS, DENSE = 8, 1, 8
 #: Rows of two numbers that may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -75,6 +75,12 @@ def parity_sketch(own: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def fold(own: np.ndarray) -> list[int]:
+    """A parity sketch of 256 bits as four numbers, for expressions."""
+    odd = np.bincount((own >> np.uint64(20) & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def sketches_differ(a: bytes, b: bytes) -> int:
     """Bits that differ, the longer sketch folded to the length of the shorter."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -100,15 +106,16 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-_NODES = "doc_id long, node long, n int, least binary, sketch binary"
-_NODE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("least", pa.binary()), ("sketch", pa.binary())])
+_FOLD = ["f0", "f1", "f2", "f3"]
+_NODES = "doc_id long, node long, n int, least binary, sketch binary, f0 long, f1 long, f2 long, f3 long"
+_NODE_SCHEMA = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("least", pa.binary()), ("sketch", pa.binary()), *[(f, pa.int64()) for f in _FOLD]])
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Of each text its set's key and size, and, where the task meets the key for the first time, window and sketch."""
     met: set[int] = set()
     for batch in _slices(batches):
-        keys, sizes, least, sketch = [], [], [], []
+        keys, sizes, least, sketch, folds = [], [], [], [], []
         for own, doc_id in zip(text_sets(batch.column(1)), batch.column(0).to_pylist(), strict=True):
             key = set_key(own) if len(own) else None
             keys.append(key)
@@ -118,7 +125,8 @@ def _nodes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[
                 met.add(key)
             least.append(_ordered(own, frequent)[: window_size(len(own))].tobytes() if new else None)
             sketch.append(parity_sketch(own) if new else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(least, pa.binary()), pa.array(sketch, pa.binary())], schema=_NODE_SCHEMA)
+            folds.append(fold(own) if new else [None] * 4)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int32()), pa.array(least, pa.binary()), pa.array(sketch, pa.binary()), *[pa.array([x[k] for x in folds], pa.int64()) for k in range(4)]], schema=_NODE_SCHEMA)
 
 
 _ENTRY = np.dtype([("shingle", np.uint64), ("node", np.int64), ("n", np.int32), ("place", np.int32)])
@@ -243,7 +251,7 @@ def _near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             fits = [total * sketches_differ(x[i], y[i]) <= (DENOMINATOR - NUMERATOR) * (an[i] + bn[i]) for i in range(batch.num_rows)]
             yield batch.select([0, 1]).filter(pa.array(fits, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "an", "x", "bn", "y").mapInArrow(keep, "a long, b long")
+    return _small(pairs).join(left, "a").join(right, "b").select("a", "b", "an", "x", "bn", "y").mapInArrow(keep, "a long, b long")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -282,7 +290,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, reps: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """The links among candidate pairs, and all pairs that were compared on texts, with what they share."""
-    near = written(_near(pairs, sketches), f"{name}-near")
+    near = written(_near(written(pairs, f"{name}-pairs"), sketches), f"{name}-near")
     needed = near.select(F.col("a").alias("node")).union(near.select("b")).distinct().join(reps.select("node", F.col("doc_id").alias("_id")), "node")
     needed = _small(written(needed, f"{name}-needed"))
     texts = docs.select(F.col("doc_id").alias("_id"), "text").join(needed, "_id").select("node", "text")
@@ -292,9 +300,10 @@ def _links(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, reps: DataFra
 
 def _apart(entries: DataFrame, labels: DataFrame, name: str) -> DataFrame:
     """Entries, with the labels of their nodes, of regions whose members have several labels."""
+    labels = _small(written(labels, f"{name}-by"))
     labelled = entries.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = labelled.groupBy("shingle").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo <> _hi").select("shingle")
-    return written(labelled.join(several, "shingle"), name)
+    return written(labelled.join(_small(written(several, f"{name}-of")), "shingle"), name)
 
 
 def _crossing(entries: DataFrame) -> tuple[int, int]:
@@ -347,11 +356,14 @@ def _level(docs: DataFrame, nodes: DataFrame, sketches: DataFrame, reps: DataFra
         small = _apart(small, connected(links, f"{name}-turn-{turn}-labels"), f"{name}-turn-{turn}-open")
     # distances to the region's first pivot, where texts were compared, bound those between members
     far = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("shared") / (F.col("a_n") + F.col("b_n") - F.col("shared"))).alias("far")).groupBy("pivot", "node").agg(F.min("far").alias("far"))
-    small = small.join(far, ["pivot", "node"], "left")
+    small = small.join(_small(written(far, f"{name}-far")), ["pivot", "node"], "left")
+    small = small.join(sketches.select("node", *_FOLD), "node")
     x, y = small.alias("x"), small.alias("y")
     window = F.expr(f"x.far is null or y.far is null or abs(x.far - y.far) <= {1 - NUMERATOR / DENOMINATOR} + 1e-9")
     pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")))
-    pairs = pairs.where(_could_link("x.n", "x.place", "y.n", "y.place")).where(window).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    differ = " + ".join(f"bit_count(x.{f} ^ y.{f})" for f in _FOLD)
+    near = F.expr(f"{NUMERATOR + DENOMINATOR}L * ({differ}) <= {DENOMINATOR - NUMERATOR}L * (x.n + y.n)")
+    pairs = pairs.where(_could_link("x.n", "x.place", "y.n", "y.place")).where(window).where(near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     more, _ = _links(pairs, sketches, docs, reps, f"{name}-members")
     return written(links.unionByName(more), f"{name}-links"), stuck
 
@@ -372,7 +384,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(frequent)
     nodes = written(docs.mapInArrow(lambda b: _nodes(b, shared.value), _NODES), "jaccard-nodes")
     reps = written(nodes.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "jaccard-reps")
-    sketches = written(nodes.where("sketch is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch")), "jaccard-sketches")
+    sketches = written(nodes.where("sketch is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"), *[F.max(f).alias(f) for f in _FOLD]), "jaccard-sketches")
     links, stuck = _level(docs, nodes, sketches, reps, frequent, None, False, "jaccard-0")
     for level in range(1, LEVELS + 1):
         ids = written(stuck.join(reps, "node").select("doc_id").distinct(), f"jaccard-{level}-stuck")
