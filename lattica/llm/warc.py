@@ -69,6 +69,11 @@ def tree(leaf: DataFrame, name: str = "warc") -> list[DataFrame]:
     return levels
 
 
+def _plain(level: DataFrame) -> DataFrame:
+    """A level's nodes by file and place, also where files have just one record."""
+    return level if "_file" not in level.columns else level.select(F.col("_file").alias("file"), F.lit(0).cast("long").alias("place"), "hash")
+
+
 def damaged(first: list[DataFrame], second: list[DataFrame]) -> DataFrame:
     """(file, place, first_hash, second_hash) of leaves that differ or that one replica lacks.
 
@@ -76,9 +81,8 @@ def damaged(first: list[DataFrame], second: list[DataFrame]) -> DataFrame:
     that differ.
     """
     if len(first) != len(second):  # of different depth: no node of one answers to one of the other
-        first, second = first[:1], second[:1]
+        first, second = [_plain(first[0])], [_plain(second[0])]
     above: DataFrame | None = None
-    files: DataFrame | None = None
     for k in range(len(first) - 1, -1, -1):
         a, b = first[k], second[k]
         if "_file" in a.columns:
@@ -86,13 +90,9 @@ def damaged(first: list[DataFrame], second: list[DataFrame]) -> DataFrame:
             files = a.select("place", "_file").union(b.select("place", "_file")).distinct()
             above = above.join(files, "place").select(F.col("_file").alias("file"), F.lit(0).cast("long").alias("place"))
             continue
-        if above is not None and files is None and k + 1 < len(first) and "_file" not in first[k + 1].columns:
-            a, b = (x.withColumn("_up", F.floor(F.col("place") / FAN)) for x in (a, b))
-        elif above is not None:
-            a, b = (x.withColumn("_up", F.floor(F.col("place") / FAN)) for x in (a, b))
         if above is not None:
             up = above.select("file", F.col("place").alias("_up"))
-            a, b = (x.join(up, ["file", "_up"], "left_semi").drop("_up") for x in (a, b))
+            a, b = (x.withColumn("_up", F.floor(F.col("place") / FAN)).join(up, ["file", "_up"], "left_semi").drop("_up") for x in (a, b))
         both = a.select("file", "place", F.col("hash").alias("first_hash")).join(b.select("file", "place", F.col("hash").alias("second_hash")), ["file", "place"], "full")
         above = both.where(~F.col("first_hash").eqNullSafe(F.col("second_hash")))
     return above

@@ -185,6 +185,13 @@ def test_warc_missing_records(spark):
     assert [r.page_id for r in got if r.damaged] == [49]
 
 
+def test_warc_trees_of_different_depth(spark):
+    one = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    two = spark.createDataFrame([(1, "u", "x"), (9_000_000, "v", "y")], "page_id long, url string, html string")
+    assert [r.page_id for r in warc.audit(two, one).collect() if r.damaged] == [9_000_000]
+    assert not [r for r in warc.audit(one, one).collect() if r.damaged]
+
+
 def test_sharding(docs, rows, empty):
     got = sharding.reshard_plan(docs).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r["size"], r.text_crc32) for r in got) == sorted((i is None, i or 0, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t, _ in rows)
