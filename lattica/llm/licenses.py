@@ -1,19 +1,22 @@
-"""License scans: winnowed fingerprints, an inverted index, banded alignment.
+"""License scans: winnowed fingerprints, an inverted index, chained alignment.
 
 Templates are cut into words, and their sequences of GRAM words hashed; of each
 run of WINDOW such hashes the least is a fingerprint. The index maps a
 fingerprint to the templates and places that have it. A document is
-fingerprinted alike; fingerprints in the index vote for a template and a
-diagonal. Around a diagonal that gets a vote, template and document are aligned
-within a band, which tolerates a few changed, missing or added words, and the
-aligned words give the coverage and the span in the original text.
+fingerprinted alike; fingerprints in the index vote for a template and a place.
+All of the document that an alignment through a vote can reach is aligned with
+the template at once, across diagonals: words of the template may be missing
+anywhere, and words may be added anywhere, but each SKIP added words cost as
+much as an aligned word gains. The aligned words give the coverage and the span
+in the original text.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +28,8 @@ from lattica.llm.shingles import mix, word_hashes
 
 GRAM = 3
 WINDOW = 2
-BAND = 3
+#: So many words left out of the document between two aligned ones outweigh an aligned word.
+SKIP = 8
 COVERAGE = 0.8
 #: Words of all templates; the index is broadcast, so it has a bound.
 MOST_WORDS = 2_000_000
@@ -96,33 +100,63 @@ def build_index(templates: Mapping[str, str]) -> Index:
     return Index(names, words, np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found], np.int64), np.array([f[2] for f in found], np.int64))
 
 
-def align(template: np.ndarray, words: np.ndarray, shift: int) -> list[tuple[int, int]]:
-    """Pairs (template word, document word) of the longest common subsequence that stays within BAND of the diagonal ``shift``."""
-    n, width = len(template), 2 * BAND + 1
-    best = np.zeros((n + 1, width + 1), np.int32)
-    for i in range(n - 1, -1, -1):
-        for k in range(width - 1, -1, -1):
-            j = i + shift - BAND + k
-            down = best[i + 1, k - 1] if k else 0
-            across = best[i, k + 1] if k + 1 < width else 0
-            here = 0
-            if 0 <= j < len(words) and template[i] == words[j]:
-                here = 1 + best[i + 1, k]
-            best[i, k] = max(here, down, across)
-    pairs = []
-    i, k = 0, 0
-    while i < n and k < width and best[i, k]:
-        j = i + shift - BAND + k
-        if 0 <= j < len(words) and template[i] == words[j] and best[i, k] == 1 + best[i + 1, k]:
-            pairs.append((i, j))
-            i += 1
-        elif k + 1 < width and best[i, k] == best[i, k + 1]:
-            k += 1
-        else:
-            i, k = i + 1, k - 1
-            if k < 0:
-                break
-    return pairs
+def regions(places: np.ndarray, at: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """The stretches of a document that alignments of a template of ``n`` words through votes (its ``places``, the document's ``at``) can reach."""
+    low = at - (SKIP + 1) * places
+    high = at + (SKIP + 1) * (n - places)
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    new = np.flatnonzero(np.r_[True, low[1:] > high[:-1]])
+    return list(zip(low[new].tolist(), high[np.r_[new[1:] - 1, len(high) - 1]].tolist(), strict=True))
+
+
+def align(template: np.ndarray, words: np.ndarray, coverage: float) -> list[tuple[int, int, int]]:
+    """(aligned words, first, last) of the alignments that cover enough of the template and do not overlap, those of the best score first.
+
+    An alignment pairs equal words in order. Its score is SKIP for each pair
+    less one for each word of the document between its ends that has no pair.
+    """
+    n, m = len(template), len(words)
+    order = np.argsort(words, kind="stable")
+    ordered = words[order]
+    low, high = np.searchsorted(ordered, template), np.searchsorted(ordered, template, "right")
+    if np.count_nonzero(high > low) < coverage * n:
+        return []
+    # A number holds (SKIP + 1) * pairs + first, which is the score and the last place plus one, and below it the first place.
+    fresh = np.arange(m, dtype=np.int64) << 32 | np.arange(m)
+    best = np.full(m + 1, -1, np.int64)
+    ends = np.full(m, -1, np.int64)
+    for a, b in zip(low.tolist(), high.tolist(), strict=True):
+        if a == b:
+            continue
+        at = order[a:b]
+        value = np.maximum(best[at], fresh[at]) + (SKIP + 1 << 32)
+        ends[at] = np.maximum(ends[at], value)
+        start = int(at[0]) + 1
+        tail = best[start:]
+        tail[at + 1 - start] = np.maximum(tail[at + 1 - start], value)
+        np.maximum.accumulate(tail, out=tail)
+    last = np.flatnonzero(ends >= 0)
+    first = ends[last] & 0xFFFFFFFF
+    total = ends[last] >> 32
+    pairs = (total - first) // (SKIP + 1)
+    enough = pairs >= coverage * n
+    found = zip((total - last)[enough].tolist(), first[enough].tolist(), last[enough].tolist(), pairs[enough].tolist(), strict=True)
+    return [(p, i, j) for _, i, j, p in apart(sorted(((-s, i, j, p) for s, i, j, p in found)), 1, 2)]
+
+
+def apart(found: Sequence[tuple], first: int, last: int) -> list[tuple]:
+    """Those of ``found``, taken in order, whose span from column ``first`` to ``last`` overlaps no span taken before."""
+    starts: list[int] = []
+    stops: list[int] = []
+    kept = []
+    for x in found:
+        k = bisect_right(starts, x[last])
+        if not k or stops[k - 1] < x[first]:
+            starts.insert(k, x[first])
+            stops.insert(k, x[last])
+            kept.append(x)
+    return kept
 
 
 def scan(index: Index, text: str | None, coverage: float = COVERAGE) -> list[tuple[str, float, int, int]]:
@@ -141,28 +175,21 @@ def scan(index: Index, text: str | None, coverage: float = COVERAGE) -> list[tup
     hits = np.flatnonzero(high > low)
     if not len(hits):
         return []
-    votes: dict[int, set[int]] = defaultdict(set)
+    votes: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for h in hits.tolist():
         for e in range(low[h], high[h]):
-            votes[int(index.template[e])].add(int(at[h] - index.place[e]))
+            votes[int(index.template[e])].append((int(index.place[e]), int(at[h])))
     found = []
-    for t, diagonals in votes.items():
-        done = None
-        for shift in sorted(diagonals):
-            if done is not None and shift - done <= BAND // 2:
-                continue
-            done = shift
-            pairs = align(index.words[t], words, shift)
-            if pairs and len(pairs) >= coverage * len(index.words[t]):
-                found.append((-len(pairs), pairs[0][1], index.names[t], pairs[-1][1], len(pairs) / len(index.words[t])))
+    for t, pairs in votes.items():
+        n = len(index.words[t])
+        for start, end in regions(*np.array(pairs).T, n):
+            start = max(start, 0)
+            found += [(-count, start + i, index.names[t], start + j, count / n) for count, i, j in align(index.words[t], words[start:end], coverage)]
     if not found:
         return []
     folded = raw.translate(_FOLD)
     spots = [m.span() for m in re.finditer(rb"[^ ]+", folded)]
-    kept: list[tuple[int, int, str, int, float]] = []
-    for x in sorted(found):
-        if all(x[3] < y[1] or x[1] > y[3] for y in kept):
-            kept.append(x)
+    kept = apart(sorted(found), 1, 3)
     count = lambda b: len(raw[:b].decode("utf-8", "ignore"))
     return sorted(((name, share, count(spots[a][0]), count(spots[b][1])) for _, a, name, b, share in kept), key=lambda x: (x[2], x[0]))
 

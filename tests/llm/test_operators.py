@@ -6,6 +6,7 @@ import re
 import struct
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -318,6 +319,31 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan_documents(empty).count() == 0
 
 
+@pytest.mark.parametrize("name", ["MIT", "Apache-2.0-header", "BSD-2-Clause"])
+def test_licenses_with_ten_words_more_or_less(name):
+    index, words = licenses.build_index(licenses.TEMPLATES), licenses.TEMPLATES[name].split()
+    half = len(words) // 2
+    for text, least in ((words[:half] + [f"new{i}" for i in range(10)] + words[half:], 1), (words[:half] + words[half + 10 :], 0.85)):
+        text = " ".join(text)
+        ((found, share, start, end),) = licenses.scan(index, f"Before it, words. {text} And after.")
+        assert (found, start) == (name, 18) and least <= share <= 1 and 18 + len(text) - end <= 1
+
+
+def test_license_alignments_have_the_best_score():
+    r = random.Random(3)
+    for _ in range(200):
+        template, words = (np.array(r.choices(range(6), k=k), np.uint64) for k in (r.randint(1, 6), r.randint(1, 25)))
+        best = {}
+        for i, t in enumerate(template):
+            for j in np.flatnonzero(words == t).tolist():
+                best[i, j] = licenses.SKIP + max([0, *(v - (j - b - 1) for (a, b), v in best.items() if a < i and b < j)])
+        got = licenses.align(template, words, 0)
+        assert bool(got) == bool(best)
+        if got:
+            count, first, last = got[0]
+            assert (licenses.SKIP + 1) * count - (last - first + 1) == max(best.values())
+
+
 def water_fill(sizes, weights, share, most):
     budget, target, open_ = share * sum(sizes.values()), {}, dict(zip(sizes, weights))
     while open_:
