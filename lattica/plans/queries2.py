@@ -95,6 +95,12 @@ def slug_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", naming.node_id(F.substring(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), 1, 40)).alias("slug"))
 
 
+@query()
+def slug_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slugs of the whole texts of all documents; no SQL, since strip_accents differs on compatibility forms."""
+    return _read(spark, sf_dir, "documents").select("doc_id", naming.node_id(F.col("text")).alias("slug"))
+
+
 @query("SELECT DISTINCT event_type, upper(event_type) || '_OF_USER' AS type FROM events")
 def rel_type_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "events").select("event_type", naming.relationship_type(F.concat("event_type", F.lit("OfUser"))).alias("type")).distinct()

@@ -2,6 +2,8 @@
 
 import hashlib
 import json
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from lattica.functions import naming, wikitext
 from lattica.operators import compare, resolve
 from lattica.operators.graph import Graph
+from lattica.plans.catalogue import QUERIES
 from lattica.sources import tables, turtle
 from lattica.streaming.ingest import event_counts, ingest_nodes
 from tests.test_graph import EDGES, NODES, node
@@ -23,6 +26,19 @@ def test_slugs(spark, name, slug):
     assert one(spark, name, naming.node_id) == slug
 
 
+def test_slugs_of_whole_texts(spark, tmp_path):
+    texts = ["Über alle Maßen: " + "ein langer Satz, " * 20 + "ﬁn ½ x² d’été", "It's\nA\tB", "", "…", None]
+    rows = [(i, t, lang) for i, t in enumerate(texts) for lang in ("de", "en", None, "xx")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def slug(text):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+        return "-".join(re.findall("[a-z0-9]+", plain.replace("'", "").replace("’", "").lower()))
+
+    got = QUERIES["slug_whole_texts"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((i, None if t is None else slug(t)) for i, t, _ in rows), key=str)
+
+
 def test_names(spark):
     assert one(spark, "Nidoran♀", naming.species_id) == "nidoran-f"
     assert one(spark, "hasSecondaryType", naming.relationship_type) == "HAS_SECONDARY_TYPE"
