@@ -49,6 +49,15 @@ TEMPLATES: dict[str, str] = {
     "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "All-rights-reserved": "All rights reserved.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-3.0-header": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "EPL-2.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "MIT-disclaimer": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "BSD-disclaimer": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
 }
 
 _WORD = re.compile(r"[^\W_]+")
@@ -88,6 +97,8 @@ class Index:
     prints: np.ndarray
     template: np.ndarray
     place: np.ndarray
+    #: Fingerprints of templates of under WINDOW grams, which a document's own fingerprints may lack.
+    short: np.ndarray
 
 
 def build_index(templates: Mapping[str, str]) -> Index:
@@ -97,7 +108,8 @@ def build_index(templates: Mapping[str, str]) -> Index:
         raise ValueError(f"templates have more than {MOST_WORDS} words")
     values = [grams(w) for w in words]
     found = sorted((int(v[p]), t, int(p)) for t, v in enumerate(values) for p in winnow(v))
-    return Index(names, words, np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found], np.int64), np.array([f[2] for f in found], np.int64))
+    short = np.concatenate([np.zeros(0, np.uint64), *(v for v in values if len(v) < WINDOW)])
+    return Index(names, words, np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found], np.int64), np.array([f[2] for f in found], np.int64), short)
 
 
 def regions(places: np.ndarray, at: np.ndarray, n: int) -> list[tuple[int, int]]:
@@ -163,12 +175,12 @@ def scan(index: Index, text: str | None, coverage: float = COVERAGE) -> list[tup
     """(template, share of its words that are aligned, start, end) of all matches, by place.
 
     Of matches whose spans overlap the one with more aligned words stays, then
-    the earlier, then the first by name. Offsets count characters.
+    that of the larger share, then the earlier, then the first by name. Offsets count characters.
     """
     raw = (text or "").encode()
     words = _hashes(raw)
     values = grams(words)
-    at = winnow(values)
+    at = np.union1d(winnow(values), np.flatnonzero(np.isin(values, index.short)))
     if not len(at) or not len(index.prints):
         return []
     low, high = np.searchsorted(index.prints, values[at]), np.searchsorted(index.prints, values[at], "right")
@@ -184,14 +196,14 @@ def scan(index: Index, text: str | None, coverage: float = COVERAGE) -> list[tup
         n = len(index.words[t])
         for start, end in regions(*np.array(pairs).T, n):
             start = max(start, 0)
-            found += [(-count, start + i, index.names[t], start + j, count / n) for count, i, j in align(index.words[t], words[start:end], coverage)]
+            found += [(-count, -count / n, start + i, index.names[t], start + j) for count, i, j in align(index.words[t], words[start:end], coverage)]
     if not found:
         return []
     folded = raw.translate(_FOLD)
     spots = [m.span() for m in re.finditer(rb"[^ ]+", folded)]
-    kept = apart(sorted(found), 1, 3)
+    kept = apart(sorted(found), 2, 4)
     count = lambda b: len(raw[:b].decode("utf-8", "ignore"))
-    return sorted(((name, share, count(spots[a][0]), count(spots[b][1])) for _, a, name, b, share in kept), key=lambda x: (x[2], x[0]))
+    return sorted(((name, -share, count(spots[a][0]), count(spots[b][1])) for _, share, a, name, b in kept), key=lambda x: (x[2], x[0]))
 
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()), ("start", pa.int64()), ("end", pa.int64())])

@@ -329,6 +329,17 @@ def test_licenses_with_ten_words_more_or_less(name):
         assert (found, start) == (name, 18) and least <= share <= 1 and 18 + len(text) - end <= 1
 
 
+def test_licenses_every_template():
+    index = licenses.build_index(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        assert [x[:2] for x in licenses.scan(index, f"Some words. {text} And more of them.")] == [(name, 1.0)]
+    assert [x[0] for x in licenses.scan(index, f"{licenses.TEMPLATES['BSD-3-Clause']} {licenses.TEMPLATES['BSD-disclaimer']}")] == ["BSD-3-Clause", "BSD-disclaimer"]
+    r = random.Random(4)
+    for _ in range(50):  # whatever the hashes of the words around it
+        words = ["".join(r.choices("abcdefgh", k=4)) for _ in range(8)]
+        assert [x[0] for x in licenses.scan(index, " ".join([*words[:4], "All rights reserved.", *words[4:]]))] == ["All-rights-reserved"]
+
+
 def test_license_alignments_have_the_best_score():
     r = random.Random(3)
     for _ in range(200):
