@@ -186,6 +186,21 @@ def test_warc_missing_records(spark):
     assert [r.page_id for r in got if r.damaged] == [49]
 
 
+def test_warc_records_missing_and_added_in_the_middle(spark):
+    rows = [(i, f"u{i}", "x") for i in range(0, 10_000, 40)] + [(80, "u80", "again"), (80, "u80", "again"), (None, "v", "1"), (None, "w", "1")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    more = spark.createDataFrame([(4001, "new", "y"), (80, "u80", "third"), (120, "u120", "z"), (None, "n", "2"), (90_000, "far", "y")], pages.schema)
+    less = spark.createDataFrame([r for r in rows if r[0] not in (2000, 120) and r[1] != "v"][:-1] + [(None, "w", "1")], pages.schema)
+    assert sorted(r.page_id for r in warc.audit(pages, pages.where("page_id <> 2000 or page_id is null")).collect() if r.damaged) == [2000]
+    got = warc.audit(pages, less.union(more)).collect()
+    assert sorted(str(r.page_id) for r in got if r.damaged and r.offset is not None) == ["120", "2000", "None"]
+    assert sorted(str(r.page_id) for r in got if r.offset is None) == ["4001", "80", "90000", "None"]
+    assert len(got) == len(rows) + 4 and all(r.damaged for r in got if r.offset is None)
+    once = pages.dropDuplicates()
+    assert [r.page_id for r in warc.audit(pages, once).collect() if r.damaged] == [80]
+    assert [(r.page_id, r.offset) for r in warc.audit(once, pages).collect() if r.damaged] == [(80, None)]
+
+
 def test_warc_trees_of_different_depth(spark):
     one = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
     two = spark.createDataFrame([(1, "u", "x"), (9_000_000, "v", "y")], "page_id long, url string, html string")
