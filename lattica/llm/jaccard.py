@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lattica.llm.common import written
 from lattica.llm.components import connected
@@ -368,16 +369,8 @@ def _level(docs: DataFrame, nodes: DataFrame, sketches: DataFrame, reps: DataFra
     return written(links.unionByName(more), f"{name}-links"), stuck
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: (doc_id, n_shingles, component_id).
-
-    Links join rows whose shingle sets have a similarity of 0.75 or more;
-    ``component_id`` is the least doc_id that links reach. Null and empty
-    texts, and texts without words, have no shingles and no links: their
-    component is their own id. A row without an id links nothing, and its
-    component is null. Rows that repeat an id are one document for links. An
-    empty table gives an empty table. Only doc_id and text are read.
-    """
+def _components(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: (doc_id, n, node, part, component_id), where ``part`` tells components of the same least id apart; null without shingles."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     frequent = _frequent(docs, docs.count())
@@ -399,16 +392,42 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         links, stuck = _level(part, below, sketches, reps, frequent, links, level == LEVELS, f"jaccard-{level}")
     labels = connected(links, "jaccard-labels")
     components = labels.join(reps, "node").groupBy("label").agg(F.min("doc_id").alias("least"))
-    of_node = reps.join(labels, "node", "left").join(components, "label", "left").select("node", F.coalesce("least", "doc_id").alias("least"))
+    of_node = reps.join(labels, "node", "left").join(components, "label", "left").select("node", F.coalesce("label", "node").alias("part"), F.coalesce("least", "doc_id").alias("least"))
     rows = nodes.select("doc_id", "n", "node").join(of_node, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
-    return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+    return rows.select("doc_id", "n", "node", "part", component.alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: (doc_id, n_shingles, component_id).
+
+    Links join rows whose shingle sets have a similarity of 0.75 or more;
+    ``component_id`` is the least doc_id that links reach. Null and empty
+    texts, and texts without words, have no shingles and no links: their
+    component is their own id. A row without an id links nothing, and its
+    component is null. Rows that repeat an id with different texts link each by
+    their own text. An empty table gives an empty table. Only doc_id and text are read.
+    """
+    return _components(docs).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+@F.arrow_udf(T.LongType())
+def _set_keys(texts: pa.Array) -> pa.Array:
+    return pa.array([set_key(own) if len(own) else None for own in text_sets(texts)], pa.int64())
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose document has the least id of its component; the first of rows that repeat an id and text, and all rows without an id."""
-    kept = jaccard_components(docs).where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
-    rows = docs.join(kept, docs["doc_id"] == kept["_id"])
-    once = rows.where("_rows = 1").select(*docs.columns)
-    repeated = rows.where("_rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    """One row of each component, of its least id, and all rows without an id.
+
+    Rows that repeat an id are told apart by their shingle sets: of those with
+    one set, or without shingles, one stays; those in different components
+    stay each.
+    """
+    rows = written(_components(docs).where("doc_id is not null"), "jaccard-rows")
+    ids = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("_least"))
+    of_least = docs.join(ids.where("_least"), docs["doc_id"] == ids["_id"])
+    once = of_least.where("_rows = 1").select(*docs.columns)
+    kept = rows.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id"), "part").agg(F.min("node").alias("_kept")).drop("part")
+    repeated = of_least.where("_rows > 1").select(*docs.columns, _set_keys(F.col("text")).alias("_key")).dropDuplicates(["doc_id", "_key"])
+    repeated = repeated.join(kept, (F.col("doc_id") == F.col("_id")) & F.col("_key").eqNullSafe(F.col("_kept")), "left_semi").select(*docs.columns)
     return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))

@@ -102,6 +102,16 @@ def test_jaccard_keeps_one(docs, rows):
     assert kept.count(None) == 2
 
 
+def test_jaccard_keeps_one_where_ids_repeat(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    # 1: two texts of their own, one of them twice; 2: a near copy of 1's; 3: near copies of each other; 4: a near copy of 1's and a text of its own
+    rows = [(1, a, "x"), (1, a, "x"), (1, b, "x"), (2, a + " z", "x"), (3, c, "x"), (3, c + " z", "x"), (4, b + " y", "x"), (4, "p q r s t u v w", "x"), (5, "", "x"), (5, "k l m n o p q", "x")]
+    got = sorted((r.doc_id, r.text) for r in jaccard.keep_one(table(spark, rows)).collect())
+    third = [t for i, t in got if i == 3]
+    assert len(third) == 1 and third[0] in (c, c + " z")
+    assert [x for x in got if x[0] != 3] == sorted([(1, a), (1, b), (4, "p q r s t u v w"), (5, ""), (5, "k l m n o p q")])
+
+
 def test_jaccard_empty(empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
