@@ -2,10 +2,8 @@
 
 Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; a shingle is WIDTH
 consecutive words. All of a batch's bytes are hashed at once: a word's hash is
-a difference of prefix sums of bytes times powers of an odd base, modulo 2**64,
-scrambled; a shingle's hash combines those of its words. Two different shingles
-of one text or of a pair of texts get equal hashes with a probability of about
-their number squared over 2**65.
+the sum of a scrambled number for each byte and its place in the word, modulo
+2**64, scrambled; a shingle's hash combines those of its words.
 """
 
 from __future__ import annotations
@@ -17,14 +15,12 @@ WIDTH = 5
 CHUNK = 1 << 18
 
 _U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15)
-_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_SEED = _U(0x2545F4914F6CDD1D)
 _MIXERS = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,15 +30,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    while len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            had = _powers[k]
-            step = had[-1:] * base
-            _powers[k] = np.concatenate([had, had * step])
-    return _powers[0], _powers[1]
-
-
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of texts that lie in ``data`` (bytes) from ``starts`` to the next: hashes, and where each text's begin."""
     n = len(data)
@@ -59,11 +46,13 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     ends = inside[inside > 0] - 1
     last[ends] = ~space[ends]
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _power_tables(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((low.astype(np.uint64) + _U(1)) * power[:n], out=sums[1:])
-    hashes = mix((sums[end] - sums[begin]) * inverse[begin])
-    return hashes, np.searchsorted(begin, starts)
+    if not len(begin):
+        return np.zeros(0, np.uint64), np.zeros(len(starts), np.int64)
+    lengths = end - begin
+    at = np.cumsum(lengths) - lengths
+    offset = np.arange(lengths.sum(), dtype=np.int64) - np.repeat(at, lengths)
+    values = mix((offset.astype(np.uint64) << _U(8) | low[~space]) + _SEED)
+    return mix(np.add.reduceat(values, at)), np.searchsorted(begin, starts)
 
 
 def shingle_sets(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.shingles import CHUNK, _power_tables, mix
+from lattica.llm.shingles import CHUNK, mix
 from lattica.llm.suffixes import equal_to_previous, suffix_array
 
 LENGTH = 100
@@ -34,10 +34,23 @@ GRAMS = LENGTH - GRAM + 1
 #: Parts for each shuffle partition; a part is sorted at once, in memory.
 PARTS = 8
 
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _NULL_ID = -(1 << 63)
 
 
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    while len(_powers[0]) < n:
+        for k, base in enumerate((_BASE, _INVERSE)):
+            had = _powers[k]
+            step = had[-1:] * base
+            _powers[k] = np.concatenate([had, had * step])
+    return _powers[0], _powers[1]
+
+
 def _segments(data: np.ndarray, places: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys, first starts and numbers of starts of the segments of a text's bytes; on request, which hold their key's sequence more than once."""
     n = len(data)
