@@ -16,14 +16,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and every executor can reach.
 
-    It is the session's ``spark.checkpoint.dir``; only where that is unset, as
-    in tests on one machine, a temporary folder takes its place.
+    It is the session's ``spark.checkpoint.dir``. Where that is unset, a
+    temporary folder takes its place if all tasks run on this machine, as in
+    tests; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lattica-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if _local not in _folders:
+        _folders[_local] = "file://" + tempfile.mkdtemp(prefix="lattica-")
+    return _folders[_local]
+
+
+_local = "local"
+_folders: dict[str, str] = {}
 
 
 def _discard(spark: SparkSession, path: str) -> None:
@@ -49,6 +57,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot if it has more than one in HOT of all rows, and more than PER_KEY; so there are fewer than HOT hot keys.
+HOT, PER_KEY = 256, 10_000
+
+
+def join_by_hot(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left`` with what ``right``, a written table that has each key once, holds for ``key``, null if nothing.
+
+    Rows of ``left`` with a hot key are joined by broadcast, where they lie;
+    so no task gathers them.
+    """
+    counts = left.groupBy(key).agg(F.count("*").alias("_n"))
+    total = left.count()
+    hot = written(counts.where(F.col(key).isNotNull() & (F.col("_n") > max(PER_KEY, total // HOT))).select(key, F.lit(True).alias("_hot")), f"hot-{key}")
+    if not hot.limit(1).count():
+        return left.join(right, key, "left")
+    marked = left.join(F.broadcast(hot), key, "left")  # fewer than HOT rows
+    small = F.broadcast(right.join(F.broadcast(hot.select(key)), key, "left_semi"))
+    return marked.where("_hot").drop("_hot").join(small, key, "left").unionByName(marked.where("_hot is null").drop("_hot").join(right, key, "left"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from lattica.llm.common import written
 
-ROUNDS = 60
 #: Links that one task contracts in memory.
 PER_TASK = 200_000
 
@@ -54,8 +53,9 @@ def connected(links: DataFrame, name: str) -> DataFrame:
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{name}-0")
     tasks = -(-edges.count() // PER_TASK) or 1
     edges = written(edges.repartition(tasks).mapInArrow(_forest, "u long, v long"), f"{name}-forest")
-    before = None
-    for n in range(1, ROUNDS if tasks > 1 else 1):
+    before, n = None, 0
+    while tasks > 1:
+        n += 1
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct()
         near = large.join(_least(large), "u")

@@ -10,24 +10,27 @@ its least shingle. The triangle inequality bounds how many of a document's
 least shingles a document within reach can lack, so replicating a document to
 the regions of that many shingles (its window) lets every linked pair meet.
 
-Within a region the document of least hash is the next pivot. Its distance to
-the others is computed exactly; what it links needs no comparing among itself.
-Only documents of regions that its links leave apart are compared further, in
-a window of distance to the pivot; where that would leave many pairs, further pivots, the
-heads of the largest components, go first. Regions of over ``REGION`` documents that
-are still apart are joined recursively: their documents form a smaller
-collection, in which the order puts shingles that are frequent there last.
+Members of a region of up to ``REGION`` documents are compared with each other.
+A larger region takes documents as pivots: first the member with the fewest
+rare shingles, then, turn by turn, such members of the components that are
+still apart. A pivot's distance to the others is computed exactly; what it
+links needs no comparing among itself. When turns no longer bring components
+together, the rest is compared in blocks, in a window of distance to the first
+pivot. Large regions of shingles that weren't known to be frequent are joined
+recursively: their documents form a smaller collection, in which the order puts
+those shingles last.
 
 Exact throughout: filters (sizes, places in the order, parity sketches) only
 reject what provably isn't linked, and each link is confirmed on whole texts.
-Equal sets are one node. All tables stay distributed; only the shingles that a
-sample of at most ``SAMPLE`` documents shows to be frequent are broadcast, and
-they decide nothing but the order.
+Equal sets are one node. All tables stay distributed; only at most ``FREQUENT``
+shingles that a share of the documents shows to be frequent are broadcast, and
+they decide nothing but the order and how regions are spread over tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,21 +38,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lattica.llm.common import written
+from lattica.llm.common import join_by_hot, written
 from lattica.llm.components import connected
 from lattica.llm.shingles import mix, text_sets
 
 #: Similarity, as a fraction.
 NUMERATOR, DENOMINATOR = 75, 100
-#: Documents of a region that are compared among themselves.
+#: Documents of a region that are compared among themselves without pivots.
 REGION = 64
-#: Documents that tell which shingles are frequent, and how often they must show one.
-SAMPLE, SHOWN = 8192, 3
-#: Compared with one pivot in one task.
+#: A region of a shingle not known to be frequent is joined recursively from so many documents on.
+STUCK = 512
+#: At least so many documents, and one in SHARE, tell which shingles are frequent; how often they must show one; how many are kept at most.
+SAMPLE, SHARE, SHOWN, FREQUENT = 8192, 32, 3, 1 << 20
+#: Compared with one pivot in one task, and members of a block of a large region.
 PER_TASK = 512
+#: Recursions that reorder; what is still together afterwards is joined as it is.
 LEVELS = 6
-#: More pivots are tried while regions hold more than DENSE pairs an entry that are still apart: so many a region and turn, for so many turns.
-PIVOTS, ROUNDS, DENSE = 8, 1, 8
+#: A turn gives each large region up to PIVOTS pivots. Turns go on while regions hold more than DENSE pairs an entry that are still apart and each turn halves them.
+PIVOTS, DENSE = 8, 4
 #: Rows of two numbers that may be broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -134,8 +140,8 @@ _ENTRY = np.dtype([("shingle", np.uint64), ("node", np.int64), ("n", np.int32),
 _PART_SCHEMA = pa.schema([("part", pa.int32()), ("entries", pa.binary())])
 
 
-def _deal(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Windows cut into entries, packed by the part that their shingle belongs to."""
+def _deal(batches: Iterator[pa.RecordBatch], parts: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Windows cut into entries, packed by the part that their shingle belongs to; those of a frequent one are spread over all parts."""
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             few = batch.slice(at, 512)
@@ -146,72 +152,113 @@ def _deal(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBa
             out["node"] = np.repeat(few.column(0).to_numpy(zero_copy_only=False), lengths)
             out["n"] = np.repeat(few.column(1).to_numpy(zero_copy_only=False), lengths)
             out["place"] = np.concatenate([np.arange(x) for x in lengths]) if lengths else 0
-            part = (mix(out["shingle"]) % np.uint64(parts)).astype(np.int32)
+            spread = np.where(np.isin(out["shingle"], frequent), mix(np.ascontiguousarray(out["node"]).view(np.uint64)), np.uint64(0))
+            part = (mix(out["shingle"] ^ spread) % np.uint64(parts)).astype(np.int32)
             order = np.argsort(part, kind="stable")
             out, part = out[order], part[order]
             cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)
             yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]], pa.int32()), pa.array([out[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], schema=_PART_SCHEMA)
 
 
-_REGIONS = "shingle long, node long, n int, place int, members int, pivot long, pivot_n int, pivot_place int"
-_REGION_SCHEMA = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("members", pa.int32()), ("pivot", pa.int64()), ("pivot_n", pa.int32()), ("pivot_place", pa.int32())])
+#: Rows are entries of large regions (``members`` is 0 for a frequent shingle's) or, where ``other`` is given, pairs of members of small ones.
+_FOUND = "shingle long, node long, n int, place int, members int, other long"
+_FOUND_SCHEMA = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("members", pa.int32()), ("other", pa.int64())])
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Regions of two members or more; parts come one after the other."""
+def _gather(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What regions of two members or more hold; parts come one after the other."""
     held: list[bytes] = []
     current = None
     for batch in batches:
         for part, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if part != current:
-                yield from _regions(held)
+                yield from _regions(held, frequent)
                 held, current = [], part
             held.append(entries)
-    yield from _regions(held)
+    yield from _regions(held, frequent)
 
 
-def _regions(held: list[bytes]) -> Iterator[pa.RecordBatch]:
+def _regions(held: list[bytes], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     if not held:
         return
     e = np.frombuffer(b"".join(held), _ENTRY)
     held.clear()
+    late = np.isin(e["shingle"], frequent)
     order = np.argsort(e["shingle"], kind="stable")
     shingle = e["shingle"][order]
     same = np.zeros(len(e), bool)
     same[1:] = shingle[1:] == shingle[:-1]
-    many = same.copy()
+    many = same | late[order]
     many[:-1] |= same[1:]
     e = e[order[many]]
     e = e[np.lexsort((e["node"], e["shingle"]))]
     if not len(e):
         return
-    first = np.r_[True, (e["shingle"][1:] != e["shingle"][:-1]) | (e["node"][1:] != e["node"][:-1])]
-    e = e[first]
+    e = e[np.r_[True, (e["shingle"][1:] != e["shingle"][:-1]) | (e["node"][1:] != e["node"][:-1])]]
     starts = np.flatnonzero(np.r_[True, e["shingle"][1:] != e["shingle"][:-1]])
     sizes = np.diff(np.r_[starts, len(e)])
-    members = np.repeat(sizes, sizes)
-    pivots = e[np.repeat(starts, sizes)]
-    keep = members > 1
-    e, members, pivots = e[keep], members[keep], pivots[keep]
-    for a in range(0, len(e), 65536):
-        x, m, p = e[a : a + 65536], members[a : a + 65536], pivots[a : a + 65536]
-        columns = [x["shingle"].view(np.int64), x["node"], x["n"], x["place"], m.astype(np.int32), p["node"], p["n"], p["place"]]
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], schema=_REGION_SCHEMA)
+    late = np.isin(e["shingle"][starts], frequent)
+    few = ~late & (sizes > 1) & (sizes <= REGION)
+    pairs = [_NO_PAIRS]
+    for m in np.unique(sizes[few]):
+        of_size = starts[few & (sizes == m)]
+        step = max(1, (1 << 20) // int(m * m))
+        for at in range(0, len(of_size), step):
+            pairs.append(_member_pairs(e, of_size[at : at + step], int(m)))
+    pairs = np.unique(np.concatenate(pairs))
+    for at in range(0, len(pairs), 65536):
+        x = pairs[at : at + 65536]
+        none = pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32())
+        yield pa.RecordBatch.from_arrays([none[0], pa.array(np.ascontiguousarray(x["a"])), none[1], none[1], none[1], pa.array(np.ascontiguousarray(x["b"]))], schema=_FOUND_SCHEMA)
+    large = np.repeat(late | (sizes > REGION), sizes)
+    members = np.repeat(np.where(late, 0, sizes), sizes)[large].astype(np.int32)
+    e = e[large]
+    for at in range(0, len(e), 65536):
+        x = e[at : at + 65536]
+        columns = [x["shingle"].view(np.int64), x["node"], x["n"], x["place"], members[at : at + 65536]]
+        yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(c)) for c in columns], pa.nulls(len(x), pa.int64())], schema=_FOUND_SCHEMA)
+
+
+_PAIR = np.dtype([("a", np.int64), ("b", np.int64)])
+_NO_PAIRS = np.zeros(0, _PAIR)
+
+
+def _as_pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    out = np.empty(len(x), _PAIR)
+    out["a"], out["b"] = np.minimum(x, y), np.maximum(x, y)
+    return out
+
+
+def _member_pairs(e: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
+    """Pairs of members, of regions of ``m`` entries each, that sizes and places don't rule out."""
+    i, j = np.triu_indices(m, 1)
+    x, y = e[(starts[:, None] + i).ravel()], e[(starts[:, None] + j).ravel()]
+    fits = _may_link(x["n"].astype(np.int64), x["place"], y["n"].astype(np.int64), y["place"])
+    return np.unique(_as_pairs(x["node"][fits], y["node"][fits]))
+
+
+def _may_link(n: np.ndarray, place: np.ndarray, other_n: np.ndarray, other_place: np.ndarray) -> np.ndarray:
+    """As :func:`_could_link`, of arrays."""
+    fits = DENOMINATOR * np.minimum(n, other_n) >= NUMERATOR * np.maximum(n, other_n)
+    return fits & ((NUMERATOR + DENOMINATOR) * np.minimum(n - place, other_n - other_place) >= NUMERATOR * (n + other_n))
 
 
 def _frequent(docs: DataFrame, count: int) -> np.ndarray:
-    """Shingles that a sample of ``docs`` (doc_id, text) shows to be frequent, sorted."""
-    share = min(1.0, SAMPLE / max(1, count))
+    """At most FREQUENT shingles that a share of ``docs`` (doc_id, text) shows to be frequent, sorted."""
+    share = min(1.0, max(SAMPLE / max(1, count), 1 / SHARE))
     least = max(SHOWN, int(REGION * share))
     sample = docs if share == 1 else docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    parts = 32
+    parts = max(32, int(count * share) // 2048)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, 2048):
             sets = text_sets(batch.column(1))
             own = np.concatenate(sets) if sets else _NONE
             part = (mix(own) % np.uint64(parts)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([own[part == p].tobytes() for p in range(parts)], pa.binary())], schema=_PART_SCHEMA)
+            order = np.argsort(part, kind="stable")
+            own, part = own[order], part[order]
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)
+            yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]], pa.int32()), pa.array([own[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], schema=_PART_SCHEMA)
 
     def count_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -220,7 +267,10 @@ def _frequent(docs: DataFrame, count: int) -> np.ndarray:
                 held.setdefault(part, []).append(entries)
         for part, entries in held.items():
             values, counts = np.unique(np.frombuffer(b"".join(entries), np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([values[counts >= least].tobytes()], pa.binary())], schema=_PART_SCHEMA)
+            shown = counts >= least
+            values, counts = values[shown], counts[shown]
+            most = np.argsort(-counts, kind="stable")[: -(-FREQUENT // parts)]
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([values[most].tobytes()], pa.binary())], schema=_PART_SCHEMA)
 
     counted = sample.mapInArrow(cut, "part int, entries binary").repartition(parts, "part").mapInArrow(count_, "part int, entries binary")
     found = [np.frombuffer(bytes(r.entries), np.uint64) for r in counted.collect()]
@@ -257,8 +307,8 @@ def _near(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, shared, a_n, b_n) of the pairs, from the whole ``texts`` (node, text). A pivot's pairs are dealt to as many tasks as they need."""
-    degree = F.count("*").over(Window.partitionBy("a"))
-    dealt = pairs.withColumn("_deal", F.pmod(F.xxhash64("b"), F.ceil(degree / PER_TASK)).cast("int"))
+    degrees = written(pairs.groupBy("a").agg(F.count("*").alias("_degree")).where(F.col("_degree") > PER_TASK), "jaccard-degrees")
+    dealt = pairs.join(_small(degrees), "a", "left").withColumn("_deal", F.pmod(F.xxhash64("b"), F.coalesce(F.ceil(F.col("_degree") / PER_TASK), F.lit(1))).cast("int")).drop("_degree")
     pivots = dealt.select("a", "_deal").distinct().join(texts.withColumnRenamed("node", "a"), "a").select("a", "_deal", F.lit(0).alias("role"), F.col("a").alias("b"), "text")
     others = dealt.join(texts.withColumnRenamed("node", "b"), "b").select("a", "_deal", F.lit(1).alias("role"), "b", "text")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("shared", pa.int32()), ("a_n", pa.int32()), ("b_n", pa.int32())])
@@ -314,59 +364,128 @@ def _crossing(entries: DataFrame) -> tuple[int, int]:
     return int(row[0]), int(row[1])
 
 
-def _pivot_pairs(entries: DataFrame) -> DataFrame:
-    """Pairs of each region's pivots with all members of other components. Pivots are the central members of its PIVOTS largest components.
+#: The fewest rare shingles before a frequent one, then the most shingles: the order that finds a region's most central member.
+_CENTRAL = "struct(place, -n as negative, node)"
 
-    The more regions a node shares, relative to its size, the more of its
-    shingles others have: the more central it is.
-    """
-    central = entries.groupBy("node").agg((-F.count("*") / F.max("n")).alias("_central"))
-    heads = entries.join(central, "node").groupBy("shingle", "label").agg(F.count("*").alias("_n"), F.min(F.struct("_central", "node", "n", "place")).alias("_head"))
-    rank = F.row_number().over(Window.partitionBy("shingle").orderBy(F.desc("_n"), "label"))
+
+def _with_pivot(entries: DataFrame, name: str) -> DataFrame:
+    """Entries with their region's first pivot."""
+    pivots = entries.groupBy("shingle").agg(F.min(F.expr(_CENTRAL)).alias("_p"))
+    pivots = written(pivots.select("shingle", F.col("_p.node").alias("pivot"), (-F.col("_p.negative")).alias("pivot_n"), F.col("_p.place").alias("pivot_place")), name)
+    return entries.join(_small(pivots), "shingle")
+
+
+def _pivot_pairs(entries: DataFrame, name: str) -> DataFrame:
+    """Pairs of each region's further pivots, central members of its PIVOTS largest components, with all members of other components."""
+    heads = entries.groupBy("shingle", "label").agg(F.count("*").alias("_n"), F.min(F.expr(_CENTRAL)).alias("_head"))
+    rank = F.row_number().over(Window.partitionBy("shingle").orderBy(F.desc("_n"), "_head", "label"))
     heads = heads.withColumn("_rank", rank).where(F.col("_rank") <= PIVOTS)
-    heads = heads.select("shingle", F.col("label").alias("_label"), F.col("_head.node").alias("a"), F.col("_head.n").alias("an"), F.col("_head.place").alias("ap"))
-    pairs = entries.join(heads, "shingle").where("label <> _label").where(_could_link("n", "place", "an", "ap"))
+    heads = heads.select("shingle", F.col("label").alias("_label"), F.col("_head.node").alias("a"), (-F.col("_head.negative")).alias("an"), F.col("_head.place").alias("ap"))
+    pairs = entries.join(_small(written(heads, name)), "shingle").where("label <> _label").where(_could_link("n", "place", "an", "ap"))
     return pairs.select("a", F.col("node").alias("b")).distinct()
 
 
+_KEYS = ["shingle", "lo", "hi"]
+_MEMBER = [*_KEYS, "block", "node", "n", "place", "label", "far", *_FOLD]
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of members of one region, or of two blocks of one, with different labels, that no filter rejects. Rows come by key."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    found: list[np.ndarray] = []
+    size = 0
+    rest: pa.Table | None = None
+
+    def flush() -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate([_NO_PAIRS, *found]))
+        found.clear()
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs["a"])), pa.array(np.ascontiguousarray(pairs["b"]))], schema=schema)
+
+    def groups() -> Iterator[dict[str, np.ndarray]]:
+        nonlocal rest
+        for batch in chain(batches, [None]):
+            table = pa.Table.from_batches([batch]) if batch is not None else None
+            if rest is not None:
+                table = pa.concat_tables([rest, table]) if table is not None else rest
+            if table is None or not table.num_rows:
+                continue
+            x = {c: table.column(c).to_numpy() for c in _MEMBER}
+            change = np.zeros(table.num_rows, bool)
+            for k in _KEYS:
+                change[1:] |= x[k][1:] != x[k][:-1]
+            cuts = np.r_[0, np.flatnonzero(change), table.num_rows]
+            rest = None if batch is None else table.slice(int(cuts[-2]))
+            for a, b in zip(cuts[: -1 if batch is None else -2], cuts[1:], strict=False):
+                yield {c: v[a:b] for c, v in x.items()}
+
+    for g in groups():
+        own = g["block"] == g["lo"][0]
+        one = g["lo"][0] == g["hi"][0]
+        left = {c: v[own] for c, v in g.items()}
+        right = left if one else {c: v[~own] for c, v in g.items()}
+        n, m = left["n"].astype(np.int64)[:, None], right["n"].astype(np.int64)[None, :]
+        fits = (left["label"][:, None] != right["label"][None, :]) & _may_link(n, left["place"][:, None], m, right["place"][None, :])
+        # distances to the region's first pivot, where texts were compared, bound those between members
+        fits &= ~(np.abs(left["far"][:, None] - right["far"][None, :]) > 1 - NUMERATOR / DENOMINATOR + 1e-9)
+        if one:
+            fits &= np.tri(len(n), k=-1, dtype=bool)
+        i, j = np.nonzero(fits)
+        differ = sum(np.bitwise_count((left[f][i] ^ right[f][j]).view(np.uint64)).astype(np.int64) for f in _FOLD)
+        near = (NUMERATOR + DENOMINATOR) * differ <= (DENOMINATOR - NUMERATOR) * (left["n"][i].astype(np.int64) + right["n"][j])
+        found.append(_as_pairs(left["node"][i[near]], right["node"][j[near]]))
+        size += int(near.sum())
+        if size > 1 << 18:
+            yield flush()
+            size = 0
+    yield flush()
+
+
+def _members(entries: DataFrame, far: DataFrame, sketches: DataFrame, name: str) -> DataFrame:
+    """Candidate pairs among all members of the regions in ``entries``; a large region is cut into blocks, and two blocks at a time meet in a task."""
+    blocks = written(entries.groupBy("shingle").agg(F.ceil(F.count("*") / PER_TASK).cast("int").alias("_blocks")), f"{name}-blocks")
+    x = entries.join(_small(blocks), "shingle").join(_small(far), ["pivot", "node"], "left")
+    x = _small(written(x.select("shingle", "node", "n", "place", "label", F.coalesce("far", F.lit(float("nan"))).alias("far"), "_blocks"), f"{name}-entries"))
+    x = x.join(sketches.select("node", *_FOLD), "node")
+    x = x.withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    x = x.withColumn("lo", F.least("block", "_other")).withColumn("hi", F.greatest("block", "_other"))
+    dealt = x.select(*_MEMBER).repartition(*_KEYS).sortWithinPartitions(*_KEYS)
+    return dealt.mapInArrow(_block_pairs, "a long, b long").distinct()
+
+
 def _level(docs: DataFrame, nodes: DataFrame, sketches: DataFrame, reps: DataFrame, frequent: np.ndarray, links: DataFrame | None, last: bool, name: str) -> tuple[DataFrame, DataFrame]:
-    """``links`` and what connects the level's nodes, but for pairs that only meet in regions too large; and the nodes of those regions.
+    """``links`` and what connects the level's nodes, but for pairs that only meet in regions put off; and the nodes of those regions.
 
-    A large region of a shingle that already comes last in the order, and any
-    at the last level, isn't put off: its members are compared here.
+    A region of STUCK documents or more of a shingle that isn't known to be
+    frequent is put off, but for the last level.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
-    entries = nodes.where("least is not null").select("node", "n", "least").mapInArrow(lambda b: _deal(b, parts), "part int, entries binary")
-    regions = written(entries.repartition(max(1, parts // 4), "part").sortWithinPartitions("part").mapInArrow(_gather, _REGIONS), f"{name}-regions")
-    to_pivot = regions.where("node <> pivot").where(_could_link("n", "place", "pivot_n", "pivot_place"))
-    to_pivot = to_pivot.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    found, compared = _links(to_pivot, sketches, docs, reps, f"{name}-pivots")
-    links = found if links is None else links.unionByName(found)
-    open_ = _apart(regions.where("members > 2"), connected(links, f"{name}-labels"), f"{name}-open")
-    put_off = open_.where((F.col("members") > REGION) & F.lit(not last))
-    late = spark.createDataFrame(pa.table({"shingle": pa.array(frequent.view(np.int64), pa.int64())}))
-    stuck = put_off.join(late, "shingle", "left_anti").select("node").distinct()
-    small = written(open_.where((F.col("members") <= REGION) | F.lit(last)).unionByName(put_off.join(late, "shingle", "left_semi")), f"{name}-small")
-    for turn in range(ROUNDS):
-        pairs, size = _crossing(small)
-        if pairs <= DENSE * size:
+    known = spark.sparkContext.broadcast(frequent)
+    entries = nodes.where("least is not null").select("node", "n", "least").mapInArrow(lambda b: _deal(b, parts, known.value), "part int, entries binary")
+    found = written(entries.repartition(max(1, parts // 4), "part").sortWithinPartitions("part").mapInArrow(lambda b: _gather(b, known.value), _FOUND), f"{name}-regions")
+    large = written(_with_pivot(found.where("other is null").drop("other"), f"{name}-pivots"), f"{name}-large")
+    to_pivot = large.where("node <> pivot").where(_could_link("n", "place", "pivot_n", "pivot_place"))
+    pairs = found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).union(to_pivot.select("pivot", "node")).distinct()
+    more, compared = _links(pairs, sketches, docs, reps, f"{name}-first")
+    links = more if links is None else links.unionByName(more)
+    open_ = _apart(large, connected(links, f"{name}-labels"), f"{name}-open")
+    put_off = (F.col("members") >= STUCK) & F.lit(not last)
+    stuck = open_.where(put_off).select("node").distinct()
+    open_ = open_.where(~put_off)
+    turn, before = 0, None
+    while True:
+        apart, size = _crossing(open_)
+        if apart <= DENSE * size or (before is not None and 2 * apart > before):
             break
-        more, further = _links(_pivot_pairs(small), sketches, docs, reps, f"{name}-turn-{turn}")
+        more, further = _links(_pivot_pairs(open_, f"{name}-turn-{turn}-heads"), sketches, docs, reps, f"{name}-turn-{turn}")
         links, compared = links.unionByName(more), compared.unionByName(further)
-        small = _apart(small, connected(links, f"{name}-turn-{turn}-labels"), f"{name}-turn-{turn}-open")
-    # distances to the region's first pivot, where texts were compared, bound those between members
-    far = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("shared") / (F.col("a_n") + F.col("b_n") - F.col("shared"))).alias("far")).groupBy("pivot", "node").agg(F.min("far").alias("far"))
-    small = small.join(_small(written(far, f"{name}-far")), ["pivot", "node"], "left")
-    small = small.join(sketches.select("node", *_FOLD), "node")
-    x, y = small.alias("x"), small.alias("y")
-    window = F.expr(f"x.far is null or y.far is null or abs(x.far - y.far) <= {1 - NUMERATOR / DENOMINATOR} + 1e-9")
-    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")))
-    differ = " + ".join(f"bit_count(x.{f} ^ y.{f})" for f in _FOLD)
-    near = F.expr(f"{NUMERATOR + DENOMINATOR}L * ({differ}) <= {DENOMINATOR - NUMERATOR}L * (x.n + y.n)")
-    pairs = pairs.where(_could_link("x.n", "x.place", "y.n", "y.place")).where(window).where(near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more, _ = _links(pairs, sketches, docs, reps, f"{name}-members")
-    return written(links.unionByName(more), f"{name}-links"), stuck
+        open_ = _apart(open_, connected(links, f"{name}-turn-{turn}-labels"), f"{name}-turn-{turn}-open")
+        turn, before = turn + 1, apart
+    if size:
+        far = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("shared") / (F.col("a_n") + F.col("b_n") - F.col("shared"))).alias("far")).groupBy("pivot", "node").agg(F.min("far").alias("far"))
+        more, _ = _links(_members(open_, written(far, f"{name}-far"), sketches, name), sketches, docs, reps, f"{name}-members")
+        links = links.unionByName(more)
+    return written(links, f"{name}-links"), stuck
 
 
 def _components(docs: DataFrame) -> DataFrame:
@@ -390,10 +509,11 @@ def _components(docs: DataFrame) -> DataFrame:
         own = spark.sparkContext.broadcast(frequent)
         below = written(part.mapInArrow(lambda b, own=own: _nodes(b, own.value), _NODES), f"jaccard-{level}-nodes")
         links, stuck = _level(part, below, sketches, reps, frequent, links, level == LEVELS, f"jaccard-{level}")
-    labels = connected(links, "jaccard-labels")
-    components = labels.join(reps, "node").groupBy("label").agg(F.min("doc_id").alias("least"))
-    of_node = reps.join(labels, "node", "left").join(components, "label", "left").select("node", F.coalesce("label", "node").alias("part"), F.coalesce("least", "doc_id").alias("least"))
-    rows = nodes.select("doc_id", "n", "node").join(of_node, "node", "left")
+    labels = written(connected(links, "jaccard-labels"), "jaccard-labelled")
+    components = written(labels.join(reps, "node").groupBy("label").agg(F.min("doc_id").alias("least")), "jaccard-least")
+    labels = join_by_hot(labels, components, "label")
+    of_node = written(reps.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("part"), F.coalesce("least", "doc_id").alias("least")), "jaccard-parts")
+    rows = join_by_hot(nodes.select("doc_id", "n", "node"), of_node, "node")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return rows.select("doc_id", "n", "node", "part", component.alias("component_id"))
 
