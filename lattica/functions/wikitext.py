@@ -7,7 +7,10 @@ batches, one page at a time, and never looks across pages.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Callable, Iterable
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -24,53 +27,62 @@ _TAG = re.compile(r"</?[A-Za-z][^>]*>")
 
 
 def mask_comments(text: str) -> str:
-    """Comments become spaces, so that offsets stay."""
-    return _COMMENT.sub(lambda m: " " * len(m[0]), text)
+    """Comments become spaces, but for their line breaks, so that offsets and lines stay."""
+    return _COMMENT.sub(lambda m: re.sub(r"[^\n]", " ", m[0]), text)
+
+
+def find_headings(text: str) -> list[tuple[int, int, int, str]]:
+    """Headings outside comments: level, start, end, title as plain text."""
+    return [(len(m[1]), m.start(), m.end(), " ".join(plain_text(m[2]).split())) for m in _HEADING.finditer(mask_comments(text))]
 
 
 def split_sections(text: str) -> list[dict[str, object]]:
-    """Sections in page order: level, title, path of open headings, text up to the next heading."""
-    masked = mask_comments(text)
-    marks = [*_HEADING.finditer(masked)]
-    out: list[dict[str, object]] = [{"level": 0, "title": "", "path": [], "text": text[: marks[0].start() if marks else len(text)]}]
-    open_: list[tuple[int, str]] = []
-    for k, m in enumerate(marks):
-        level, title = len(m[1]), " ".join(plain_text(m[2]).split())
-        while open_ and open_[-1][0] >= level:
-            open_.pop()
-        open_.append((level, title))
-        out.append({"level": level, "title": title, "path": [t for _, t in open_], "text": text[m.end() : marks[k + 1].start() if k + 1 < len(marks) else len(text)]})
-    return out
+    """Sections in page order: level, title, path of the headings that a section lies under, its own last, and text up to the next heading."""
+    headings = [(0, 0, 0, ""), *find_headings(text)]
+    # a heading lies under those before it that no heading of its level or a higher one has closed since
+    paths = accumulate(headings, lambda path, h: [*(p for p in path if p[0] < h[0]), h], initial=[])
+    ends = [*(start for _, start, _, _ in headings[1:]), len(text)]
+    return [{"level": level, "title": title, "path": [t for n, _, _, t in path if n], "text": text[begin:end]} for (level, _, begin, title), end, path in zip(headings, ends, list(paths)[1:], strict=True)]
 
 
-def split_top_level(body: str, by: str = "|") -> list[str]:
-    """Parts between separators that lie in no inner brackets."""
-    parts, depth, start, k = [], 0, 0, 0
-    while k < len(body):
-        two = body[k : k + 2]
-        if two in ("{{", "[["):
-            depth, k = depth + 1, k + 2
-        elif two in ("}}", "]]"):
-            depth, k = max(0, depth - 1), k + 2
-        else:
-            if body[k] == by and not depth:
-                parts.append(body[start:k])
-                start = k + 1
-            k += 1
-    return [*parts, body[start:]]
+_NESTING = {"{{": 1, "[[": 1, "}}": -1, "]]": -1}
 
 
-def find_templates(text: str) -> list[tuple[int, int, str]]:
-    """Outermost templates: start, end, what is between the braces. Unclosed ones are none."""
+def split_top_level(body: str, by: str = "|") -> list[str]:
+    """Parts between separators that lie in no inner brackets."""
+    depth, cuts = 0, [-1]
+    for token in re.finditer(r"\{\{|\[\[|\}\}|\]\]|" + re.escape(by), body):
+        change = _NESTING.get(token[0])
+        if change is not None:
+            depth = max(0, depth + change)
+        elif not depth:
+            cuts.append(token.start())
+    return [body[a + 1 : b] for a, b in pairwise([*cuts, len(body)])]
+
+
+def find_templates(text: str, names: Iterable[str] | None = None) -> list[tuple[int, int, str]]:
+    """Templates: start, end, what is between the braces. Unclosed ones are none.
+
+    Without ``names`` only outermost ones; with them, all of these canonical
+    names, inside others too, in the order of their starts.
+    """
     out, open_ = [], []
     for m in re.finditer(r"\{\{|\}\}", text):
         if m[0] == "{{":
             open_.append(m.start())
         elif open_:
             start = open_.pop()
-            if not open_:
+            if names is not None or not open_:
                 out.append((start, m.end(), text[start + 2 : m.start()]))
-    return out
+    if names is None:
+        return out
+    wanted = set(names)
+    return sorted(t for t in out if canonical_name(t[2]) in wanted)
+
+
+def canonical_name(body: str) -> str:
+    """A template's name: one letter case, single spaces for runs of spaces and underscores."""
+    return " ".join(split_top_level(body)[0].replace("_", " ").split()).lower()
 
 
 def read_template(body: str) -> tuple[str, dict[str, str]]:
@@ -84,7 +96,7 @@ def read_template(body: str) -> tuple[str, dict[str, str]]:
         else:
             position += 1
             values[str(position)] = p.strip()
-    return " ".join(name.replace("_", " ").split()).lower(), values
+    return canonical_name(name), values
 
 
 def plain_text(text: str, render: Callable[[str, dict[str, str]], str | None] = lambda name, params: params.get("2") or params.get("1")) -> str:
@@ -103,6 +115,19 @@ def plain_text(text: str, render: Callable[[str, dict[str, str]], str | None] =
     return re.sub(r"'{2,5}", "", _TAG.sub("", text))
 
 
+def small_captions(text: str) -> list[str]:
+    """What stands in small print, as plain text, without the brackets around it."""
+    found = [plain_text(m[1]) for m in re.finditer(r"<small\b[^>]*>(.*?)</small\s*>", _COMMENT.sub("", text), re.S | re.I)]
+    return [t for x in found if (t := " ".join(x.split()).strip("() "))]
+
+
+def captured_templates(text: str, names: Iterable[str]) -> tuple[str, list[tuple[str, dict[str, str]]]]:
+    """Plain text, and the named templates in it with their parameters, which leave no text."""
+    wanted = frozenset(names)
+    found = [read_template(body) for _, _, body in find_templates(_COMMENT.sub("", text), wanted)]
+    return plain_text(text, lambda name, params: None if name in wanted else params.get("2") or params.get("1")), found
+
+
 def categories(text: str) -> list[str]:
     return sorted({m[1].strip() for m in re.finditer(r"\[\[\s*[Cc]ategory\s*:\s*([^\]|]+)", _COMMENT.sub("", text))})
 
@@ -128,23 +153,17 @@ def split_blocks(text: str) -> list[tuple[str, str]]:
 
 def merge_short(blocks: Iterable[tuple[str, str]], least: int = SHORT_PARAGRAPH) -> list[tuple[str, str]]:
     """Short paragraphs join the next one; those left at the end join the last; bullets stand."""
-    out: list[tuple[str, str]] = []
-    held = ""
-    for kind, text in blocks:
-        if kind != "paragraph":
-            out.append((kind, text))
-            continue
-        held = f"{held} {text}" if held else text
-        if len(held) >= least:
-            out.append((kind, held))
-            held = ""
-    if held:
-        last = next((k for k in range(len(out) - 1, -1, -1) if out[k][0] == "paragraph"), None)
-        if last is None:
-            out.append(("paragraph", held))
-        else:
-            out[last] = ("paragraph", f"{out[last][1]} {held}")
-    return out
+    blocks = list(blocks)
+    at = [k for k, (kind, _) in enumerate(blocks) if kind == "paragraph"]
+    # characters gathered up to each paragraph, from the one after the last that was long enough
+    gathered = accumulate((len(blocks[k][1]) for k in at), lambda n, more: more if n >= least else n + 1 + more)
+    ends = [k for k, n in zip(at, gathered, strict=True) if n >= least]
+    home: dict[int, list[str]] = defaultdict(list)
+    for k in at:
+        after = bisect_left(ends, k)
+        home[ends[after] if after < len(ends) else ends[-1] if ends else len(blocks)].append(blocks[k][1])
+    out = [(kind, text if kind != "paragraph" else " ".join(home[k])) for k, (kind, text) in enumerate(blocks) if kind != "paragraph" or k in home]
+    return out + [("paragraph", " ".join(texts)) for k, texts in home.items() if k == len(blocks)]
 
 
 _S = T.StringType()
