@@ -8,6 +8,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lattica.functions.naming import hex_of_base36
 from lattica.operators.graph import Graph
@@ -66,24 +67,44 @@ def commit_graph(spark: SparkSession, graph: Graph, root: str) -> str:
     version = uuid.uuid4().hex
     graph.nodes.write.partitionBy("universe").parquet(f"{root}/{version}/nodes")
     graph.edges.write.partitionBy("universe", "type").parquet(f"{root}/{version}/edges")
+    about = {"version": version, "nodes": graph.nodes.schema.jsonValue(), "edges": graph.edges.schema.jsonValue()}
+    _write_text(spark, f"{root}/{version}/schema.json", json.dumps(about))
+    replace_file(spark, f"{root}/current.json", json.dumps({"version": version}))
+    return version
+
+
+def _hadoop(spark: SparkSession, path: str):  # noqa: ANN202
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fresh, pointer = path(f"{root}/current-{version}.new"), path(f"{root}/current.json")
-    stream = fs.create(fresh, True)
-    stream.write(bytearray(json.dumps({"version": version}).encode()))
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    _, target, fs = _hadoop(spark, path)
+    stream = fs.create(target, True)
+    stream.write(bytearray(text.encode()))
     stream.close()
+
+
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written beside its place, then moved there: readers see the old text or the new one."""
+    fresh = f"{path}-{uuid.uuid4().hex}.new"
+    _write_text(spark, fresh, text)
+    jvm, target, _ = _hadoop(spark, path)
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(root).toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(fresh, pointer, options)
-    return version
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(jvm.org.apache.hadoop.fs.Path(fresh), target, options)
+
+
+def _read_json(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.option("wholetext", True).text(path).first()[0])
 
 
 def read_graph(spark: SparkSession, root: str, version: str | None = None) -> Graph:
     """The current snapshot, or the one asked for."""
-    if version is None:
-        version = json.loads(spark.read.option("wholetext", True).text(f"{root}/current.json").first()[0])["version"]
-    nodes, edges = spark.read.parquet(f"{root}/{version}/nodes"), spark.read.parquet(f"{root}/{version}/edges")
+    version = version or _read_json(spark, f"{root}/current.json")["version"]
+    about = _read_json(spark, f"{root}/{version}/schema.json")  # a table without rows has no files that tell its columns
+    nodes, edges = (spark.read.schema(T.StructType.fromJson(about[name])).parquet(f"{root}/{version}/{name}") for name in ("nodes", "edges"))
     from lattica.operators.graph import EDGE_KEY
 
     return Graph(nodes.select("universe", "key_label", "id", "leaf", "labels", "name", "props"), edges.select(*EDGE_KEY, "props"))
