@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,3 +62,8 @@ def first_seen_merge(rows: DataFrame, key: Sequence[str], order: str, values: st
 def truncated(rows: DataFrame, cap: int) -> tuple[DataFrame, bool]:
     """The first ``cap`` rows, and whether there are more; reads one row beyond."""
     return rows.limit(cap), rows.limit(cap + 1).count() > cap
+
+
+def count_cases(df: DataFrame, by: list[str], cases: dict[str, Column]) -> DataFrame:
+    """Per group ``n`` rows, and how many of them fall under each case; a row may fall under several or none."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), *[F.count_if(case).alias(name) for name, case in cases.items()])

@@ -14,7 +14,9 @@ SAMPLES = 5
 
 
 def count_labels(graph: Graph) -> DataFrame:
-    return graph.nodes.select(F.explode("labels").alias("label")).groupBy("label").agg(F.count("*").alias("n"))
+    """Nodes by label. Label sets are counted first, so only the few sets are exploded."""
+    sets = graph.nodes.groupBy("labels").agg(F.count("*").alias("n"))
+    return sets.select(F.explode("labels").alias("label"), "n").groupBy("label").agg(F.sum("n").alias("n"))
 
 
 def leaf_label(labels: Column, ancestors: Mapping[str, Sequence[str]]) -> Column:

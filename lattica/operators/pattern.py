@@ -6,13 +6,14 @@ label, id, name and props; Catalyst reads only the fields that are used.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lattica.operators.graph import Graph, has_label
 
 _FIELDS = ["universe", "key_label", "id", "name", "labels", "props"]
-MAX_DEPTH = 20
 
 
 def scan(graph: Graph, var: str, label: str | None = None, where: Column | None = None, ids: list[str] | None = None) -> DataFrame:
@@ -73,26 +74,56 @@ def without(graph: Graph, rows: DataFrame, start: str, type_: str | None, *, dir
     return rows.join(steps, same, "left_anti")
 
 
-def reach(graph: Graph, rows: DataFrame, start: str, types: list[str], end: str, *, least: int = 1, most: int = MAX_DEPTH, direction: str = "out") -> DataFrame:
+def without_match(rows: DataFrame, matches: DataFrame, variables: list[str]) -> DataFrame:
+    """Rows for whose ``variables`` no row of ``matches``, a further pattern, exists."""
+    keys = lambda of: [F.struct(*[F.col(f"{of}{v}.{f}") for f in ("universe", "key_label", "id")]) for v in variables]
+    found = matches.select(*[k.alias(f"_m{n}") for n, k in enumerate(keys(""))]).distinct()
+    same = [keys("")[n] == F.col(f"_m{n}") for n in range(len(variables))]
+    return rows.join(found, same, "left_anti")
+
+
+def without_greater(rows: DataFrame, group: str, value: Column) -> DataFrame:
+    """Rows than which none of the same ``group`` has a greater value: the group's greatest decides for all of it, without pairs. A null value is neither greater nor less."""
+    best = rows.groupBy(group).agg(F.max(value).alias("_best"))
+    return rows.join(best, group).where((value >= F.col("_best")) | value.isNull() | F.col("_best").isNull()).drop("_best")
+
+
+def degree(graph: Graph, type_: str | None, *, direction: str = "out", least: int = 1) -> DataFrame:
+    """(universe, key_label, id, n) of nodes with at least ``least`` edges of a type."""
+    steps = _steps(graph, type_, direction)
+    return steps.groupBy("universe", F.col("a_label").alias("key_label"), F.col("a_id").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """``rows`` computed once: as a checkpoint where the session has a folder for it, else in storage."""
+    if rows.sparkSession.sparkContext.getCheckpointDir() or rows.sparkSession.conf.get("spark.checkpoint.dir", None):
+        return rows.checkpoint()
+    return rows.persist()
+
+
+def reach(graph: Graph, rows: DataFrame, start: str, types: list[str], end: str, *, least: int = 1, most: int | None = None, direction: str = "out") -> DataFrame:
     """Variable-length expansion over trails: edges don't repeat within a path, nodes may.
 
     Adds ``end`` (universe, key_label, id), ``depth`` and ``path``, the ids on
-    the way. The frontier is joined once per step, and a step without rows ends
-    the loop, so depth costs as many joins as the longest trail has edges.
+    the way. Each frontier is kept, so that a step costs one join whatever came
+    before it; a step without rows ends the loop. Trails end since their edges
+    differ; ``most`` cuts them only where the pattern itself does.
     """
     steps = _steps(graph, None, direction).where(F.col("type").isin(types))
     steps = steps.select(F.col("universe").alias("_u"), F.col("a_label").alias("_al"), F.col("a_id").alias("_ai"), F.col("b_label").alias("_bl"), F.col("b_id").alias("_bi"), F.concat_ws("\x01", "type", F.when(F.col("forward"), F.concat_ws("\x02", "a_label", "a_id", "b_label", "b_id")).otherwise(F.concat_ws("\x02", "b_label", "b_id", "a_label", "a_id"))).alias("_e"))
     at = F.struct(F.col(f"{start}.universe").alias("universe"), F.col(f"{start}.key_label").alias("key_label"), F.col(f"{start}.id").alias("id"))
     frontier = rows.withColumn(end, at).withColumn("depth", F.lit(0)).withColumn("path", F.array(F.col(f"{start}.id"))).withColumn("_trail", F.array().cast("array<string>"))
     found = [frontier] if least == 0 else []
-    for depth in range(1, most + 1):
+    for depth in count(1) if most is None else range(1, most + 1):
         here = (F.col(f"{end}.universe") == F.col("_u")) & (F.col(f"{end}.key_label") == F.col("_al")) & (F.col(f"{end}.id") == F.col("_ai"))
         frontier = frontier.join(steps, here).where(~F.array_contains("_trail", F.col("_e")))
         frontier = frontier.withColumn(end, F.struct(F.col("_u").alias("universe"), F.col("_bl").alias("key_label"), F.col("_bi").alias("id"))).withColumn("depth", F.lit(depth)).withColumn("path", F.concat("path", F.array("_bi"))).withColumn("_trail", F.concat("_trail", F.array("_e"))).drop("_u", "_al", "_ai", "_bl", "_bi", "_e")
+        frontier = _kept(frontier)
+        if frontier.isEmpty():
+            break
         if depth >= least:
             found.append(frontier)
-        if depth < most and frontier.isEmpty():
-            break
+    found = found or [frontier]
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

@@ -43,6 +43,10 @@ def look_up(mentions: DataFrame, nodes: DataFrame, least: float = 0.0) -> DataFr
     best = hits.groupBy("position", "label", "word", "key_label", "id", "name").agg(F.max("gain").alias("gain"))
     scored = best.groupBy("position", "label", "key_label", "id", "name").agg(F.round(F.sum("gain"), 6).alias("score")).where(F.col("score") >= least)
     by_score = Window.partitionBy("position").orderBy(F.desc("score"), "id", "key_label")
-    fetched = scored.withColumn("_n", F.row_number().over(by_score)).where(F.col("_n") <= FETCHED)
+    return rank_candidates(scored.withColumn("_n", F.row_number().over(by_score)).where(F.col("_n") <= FETCHED).drop("_n")).select("position", "key_label", "id", "name", "score", "rank")
+
+
+def rank_candidates(candidates: DataFrame) -> DataFrame:
+    """The best KEPT candidates (position, label, key_label, id, name, score) of each mention, with ``rank``: those of the guessed label first, then by score, short names, id."""
     order = Window.partitionBy("position").orderBy((F.col("key_label") != F.coalesce("label", F.lit(""))).cast("int"), F.desc("score"), F.length("name"), "id", "key_label")
-    return fetched.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= KEPT).select("position", "key_label", "id", "name", "score", "rank")
+    return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= KEPT)

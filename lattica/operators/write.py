@@ -20,12 +20,22 @@ def _meets(new: str, old: str) -> Column:
     return (F.col(f"{new}.universe") == F.col(f"{old}.universe")) & (F.col(f"{new}.id") == F.col(f"{old}.id")) & F.array_contains(F.col(f"{old}.labels"), F.col(f"{new}.key_label"))
 
 
+def refuse_repeats(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``df``, whose plan raises an error if a key occurs twice: by counts, so no key's rows are gathered."""
+    rest = [c for c in df.columns if c not in key]
+    once = df.groupBy(*key).agg(F.count("*").alias("_n"), F.any_value(F.struct(*rest)).alias("_r"))
+    checked = F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("a batch repeats "), F.concat_ws("/", *key)))).otherwise(F.col("_r"))
+    return once.select(*key, checked.alias("_r")).select(*key, "_r.*").select(*df.columns)
+
+
 def merge_nodes(nodes: DataFrame, batch: DataFrame, ontology_labels: Sequence[str], replace: bool = False) -> DataFrame:
     """Inserts or updates nodes.
 
     A matched node gets the row's labels, loses other labels of the ontology
     and keeps the rest; its properties are merged, or replaced on ``replace``.
+    A batch that repeats a key is refused when the result is computed.
     """
+    batch = refuse_repeats(batch, NODE_KEY)
     fields = struct_fields(nodes, "props")
     known = F.array(*map(F.lit, ontology_labels)) if ontology_labels else F.array().cast("array<string>")
     rows = batch.alias("n")
@@ -60,9 +70,12 @@ def resolve_edges(nodes: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def merge_edges(graph: Graph, batch: DataFrame, replace: bool = False) -> DataFrame:
-    """Inserts or updates edges by type and ends; properties are merged, or replaced on ``replace``."""
+    """Inserts or updates edges by type and ends; properties are merged, or replaced on ``replace``.
+
+    Edges that repeat type and ends in the batch are refused when the result is computed.
+    """
     fields = struct_fields(graph.edges, "props")
-    new = resolve_edges(graph.nodes, batch).dropDuplicates(EDGE_KEY)
+    new = refuse_repeats(resolve_edges(graph.nodes, batch), EDGE_KEY)
     both = graph.edges.withColumnRenamed("props", "_old").withColumn("_had", F.lit(True)).join(new.withColumnRenamed("props", "_new").withColumn("_has", F.lit(True)), EDGE_KEY, "full")
     merged = F.col("_new") if replace else merge_structs(F.col("_new"), F.col("_old"), fields)
     props = F.when(F.col("_has") & F.col("_had"), merged).when(F.col("_has"), F.col("_new")).otherwise(F.col("_old"))

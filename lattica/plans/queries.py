@@ -61,18 +61,18 @@ def expand_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern.expand(g, rows, "c", "IN_NATION", "n").select(F.col("o.id").alias("order_id"), F.col("n.name").alias("nation"))
 
 
-@query("SELECT o_orderkey::VARCHAR AS order_id, c_name AS customer, p_name AS part FROM orders JOIN customer ON o_custkey = c_custkey JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE p_size = 7")
+@query("SELECT o_orderkey::VARCHAR AS order_id, c_name AS customer, p_name AS part FROM orders JOIN customer ON o_custkey = c_custkey JOIN (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey")
 def multi_pattern_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Order", "Customer", "Part"), ("PLACED", "CONTAINS"))
-    rows = pattern.expand(g, pattern.scan(g, "p", "Part", F.col("props.size") == 7), "p", "CONTAINS", "o", direction="in")
+    rows = pattern.expand(g, pattern.scan(g, "p", "Part"), "p", "CONTAINS", "o", direction="in")
     rows = pattern.expand(g, rows, "o", "PLACED", "c", direction="in")
     return rows.select(F.col("o.id").alias("order_id"), F.col("c.name").alias("customer"), F.col("p.name").alias("part"))
 
 
-@query("WITH e AS (SELECT DISTINCT l_partkey p, l_suppkey s FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size <= 5) SELECT a.p::VARCHAR AS part_id, a.s::VARCHAR AS first_id, b.s::VARCHAR AS second_id FROM e a JOIN e b ON a.p = b.p AND a.s <> b.s")
+@query("WITH e AS (SELECT DISTINCT l_partkey p, l_suppkey s FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part)) SELECT a.p::VARCHAR AS part_id, a.s::VARCHAR AS first_id, b.s::VARCHAR AS second_id FROM e a JOIN e b ON a.p = b.p AND a.s <> b.s")
 def self_pattern_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Part", "Supplier"), ("SUPPLIED_BY",))
-    rows = pattern.scan(g, "p", "Part", F.col("props.size") <= 5)
+    rows = pattern.scan(g, "p", "Part")
     rows = pattern.expand_keys(g, rows, "p", "SUPPLIED_BY", "a")
     rows = pattern.expand_keys(g, rows, "p", "SUPPLIED_BY", "b").where("a.id <> b.id")
     return rows.select(F.col("p.id").alias("part_id"), F.col("a.id").alias("first_id"), F.col("b.id").alias("second_id"))
@@ -85,9 +85,16 @@ def optional_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("c.id").alias("customer_id"), F.col("o.id").alias("order_id"))
 
 
-@query("SELECT c_custkey::VARCHAR AS id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
-def anti_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _large_orders(spark: SparkSession, sf_dir: str) -> Graph:
+    """Customers, and edges to their large orders only."""
     g = graph(spark, sf_dir, ("Customer",), ("PLACED",))
+    large = _read(spark, sf_dir, "orders").where("o_totalprice > 380000").select(F.col("o_orderkey").cast("string").alias("dst_id"))
+    return Graph(g.nodes, g.edges.join(large, "dst_id", "left_semi").select(*EDGE_KEY, "props"))
+
+
+@query("SELECT c_custkey::VARCHAR AS id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 380000)")
+def anti_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _large_orders(spark, sf_dir)
     return pattern.without(g, pattern.scan(g, "c", "Customer"), "c", "PLACED").select("c.id")
 
 
@@ -95,14 +102,23 @@ def anti_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 def not_exists_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Supplier", "Nation"), ("IN_NATION",))
     rows = pattern.expand_keys(g, pattern.scan(g, "s", "Supplier"), "s", "IN_NATION", "n")
-    # the richest of a nation decides for all of it: no pairs within a group
-    best = rows.groupBy("n").agg(F.max("s.props.acctbal").alias("_best"))
-    return rows.join(best, "n").where("s.props.acctbal >= _best or s.props.acctbal is null").select("s.id")
+    return pattern.without_greater(rows, "n", F.col("s.props.acctbal")).select("s.id")
+
+
+@query("WITH e AS (SELECT DISTINCT l_partkey p, l_suppkey s FROM lineitem) SELECT DISTINCT a.s::VARCHAR AS id, b.s::VARCHAR AS other FROM e a JOIN e b ON a.p = b.p AND a.s <> b.s WHERE NOT EXISTS (SELECT 1 FROM supplier x JOIN supplier y ON x.s_nationkey = y.s_nationkey WHERE x.s_suppkey = a.s AND y.s_suppkey = b.s)")
+def not_exists_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers that share a part and no nation."""
+    g = graph(spark, sf_dir, ("Part", "Supplier", "Nation"), ("SUPPLIED_BY", "IN_NATION"))
+    pairs = pattern.expand_keys(g, pattern.scan(g, "s", "Supplier"), "s", "SUPPLIED_BY", "p", direction="in")
+    pairs = pattern.expand_keys(g, pairs, "p", "SUPPLIED_BY", "o").where("o.id <> s.id")
+    pairs = pairs.select("s", "o").dropDuplicates(["s", "o"])
+    meet = pattern.expand_keys(g, pattern.expand_keys(g, pairs, "s", "IN_NATION", "n"), "n", "IN_NATION", "o2", direction="in")
+    return pattern.without_match(pairs, meet.where("o2.id = o.id and o2.key_label = o.key_label"), ["s", "o"]).select("s.id", F.col("o.id").alias("other"))
 
 
-@query("SELECT c_custkey::VARCHAR AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey::VARCHAR AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 380000)")
 def orphan_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return introspect.orphans(graph(spark, sf_dir, ("Customer",), ("PLACED",))).select("id")
+    return introspect.orphans(_large_orders(spark, sf_dir)).select("id")
 
 
 @query("SELECT DISTINCT (l_partkey + 100)::VARCHAR AS id FROM lineitem WHERE l_partkey + 100 NOT IN (SELECT p_partkey FROM part)")
@@ -114,13 +130,13 @@ def missing_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_custkey::VARCHAR AS id, count(*) AS orders FROM orders GROUP BY o_custkey HAVING count(*) >= 20")
 def degree_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Customer",), ("PLACED",))
-    return g.edges.groupBy(F.col("src_id").alias("id")).agg(F.count("*").alias("orders")).where("orders >= 20")
+    return pattern.degree(g, "PLACED", least=20).select("id", F.col("n").alias("orders"))
 
 
-@query("SELECT DISTINCT s_nationkey::VARCHAR AS nation_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE p_size = 1")
+@query("SELECT DISTINCT s_nationkey::VARCHAR AS nation_id FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey")
 def distinct_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Part", "Supplier", "Nation"), ("SUPPLIED_BY", "IN_NATION"))
-    rows = pattern.expand_keys(g, pattern.scan(g, "p", "Part", F.col("props.size") == 1), "p", "SUPPLIED_BY", "s")
+    rows = pattern.expand_keys(g, pattern.scan(g, "p", "Part"), "p", "SUPPLIED_BY", "s")
     return pattern.expand_keys(g, rows, "s", "IN_NATION", "n").select(F.col("n.id").alias("nation_id")).distinct()
 
 
@@ -213,10 +229,10 @@ def edge_typing_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return introspect.edge_typing_faults(g, domains)
 
 
-@query("SELECT c_nationkey::VARCHAR AS key, count(*) AS n FROM customer GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT c_nationkey::VARCHAR AS key, count(*) AS n, string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey::VARCHAR) AS owners FROM customer GROUP BY 1 HAVING count(*) > 1")
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("key"), F.col("c_custkey").cast("string").alias("owner"))
-    return rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return write.duplicate_keys(rows, ["key"], "owner").select("key", "n", F.array_join("owners", ",").alias("owners"))
 
 
 # --- writes ----------------------------------------------------------------
@@ -231,12 +247,12 @@ def _batch(g: Graph, rows: DataFrame, leaf: str, id_: F.Column, name: F.Column,
 
 
 @query(
-    "SELECT coalesce(n.id, o.id) AS id, coalesce(n.name, o.name) AS name, coalesce(n.acctbal, o.acctbal) AS acctbal, o.segment AS segment FROM (SELECT c_custkey::VARCHAR id, c_name AS name, c_acctbal acctbal, c_mktsegment segment FROM customer) o FULL JOIN (SELECT (s_suppkey * 7)::VARCHAR id, s_name AS name, s_acctbal acctbal FROM supplier) n ON n.id = o.id"
+    "SELECT coalesce(n.id, o.id) AS id, coalesce(n.name, o.name) AS name, coalesce(n.acctbal, o.acctbal) AS acctbal, o.segment AS segment, 'Customer|Agent|Entity' AS labels FROM (SELECT c_custkey::VARCHAR id, c_name AS name, c_acctbal acctbal, c_mktsegment segment FROM customer) o FULL JOIN (SELECT (s_suppkey * 37)::VARCHAR id, s_name AS name, s_acctbal acctbal FROM supplier) n ON n.id = o.id"
 )
 def upsert_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Customer",), ("PLACED",))
-    batch = _batch(g, _read(spark, sf_dir, "supplier"), "Customer", F.col("s_suppkey") * 7, F.col("s_name"), acctbal=F.col("s_acctbal"))
-    return write.merge_nodes(g.nodes, batch, list(ANCESTORS)).select("id", "name", "props.acctbal", "props.segment")
+    batch = _batch(g, _read(spark, sf_dir, "supplier"), "Customer", F.col("s_suppkey") * 37, F.col("s_name"), acctbal=F.col("s_acctbal"))
+    return write.merge_nodes(g.nodes, batch, list(ANCESTORS)).select("id", "name", "props.acctbal", "props.segment", F.array_join("labels", "|").alias("labels"))
 
 
 @query("SELECT c_custkey::VARCHAR AS id, c_name AS name FROM customer UNION ALL SELECT DISTINCT (o_custkey + 3)::VARCHAR, 'stub' FROM orders WHERE o_custkey + 3 NOT IN (SELECT c_custkey FROM customer)")
@@ -263,10 +279,10 @@ def edge_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("src_id", "dst_id", F.round("props.quantity", 2).alias("quantity"), "props.count")
 
 
-@query("SELECT c_custkey::VARCHAR AS id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey::VARCHAR AS id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 380000)")
 def sync_prune_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Customer",), ("IN_NATION",))
-    listed = _read(spark, sf_dir, "orders").select(F.lit(UNIVERSE).alias("universe"), F.lit("Customer").alias("key_label"), F.col("o_custkey").cast("string").alias("id")).distinct()
+    listed = _read(spark, sf_dir, "orders").where("o_totalprice > 380000").select(F.lit(UNIVERSE).alias("universe"), F.lit("Customer").alias("key_label"), F.col("o_custkey").cast("string").alias("id")).distinct()
     return write.prune_nodes(g, ["Customer"], listed).nodes.select("id")
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.functions import naming, wikitext
-from lattica.operators import compare, introspect, resolve, validate
-from lattica.operators.graph import is_stub
+from lattica.operators import compare, introspect, resolve, sequence, shapes, validate
+from lattica.operators.graph import Graph, is_stub, struct_fields
 from lattica.plans.projection import ANCESTORS, UNIVERSE, graph
 from lattica.plans.queries import _read, query
 from lattica.streaming.ingest import event_counts
@@ -79,24 +79,65 @@ def reference_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _only_ids(validate.check_references(wanted, g.nodes))
 
 
-@query("SELECT 'Event|Entity|Order' AS shown, count(*) AS n FROM orders")
+@query("SELECT 'Entity|Event|Order' AS labels, count(*) AS n, (SELECT string_agg(id, ',' ORDER BY id) FROM (SELECT o_orderkey::VARCHAR AS id FROM orders ORDER BY 1 LIMIT 5)) AS samples FROM orders")
 def label_set_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Order", "Nation"), ("PLACED",))
     expected = spark.createDataFrame([("Entity|Location|Nation",)], "labels string")
-    return introspect.label_set_findings(g, expected).select(F.when(F.col("labels") == "Entity|Event|Order", "Event|Entity|Order").alias("shown"), "n")
+    return introspect.label_set_findings(g, expected).select("labels", "n", F.array_join("samples", ",").alias("samples"))
 
 
-# --- names and text --------------------------------------------------------
+_SHOP = validate.Ontology({k: frozenset(v) for k, v in ANCESTORS.items()})
 
 
-@query("SELECT doc_id, trim(regexp_replace(replace(lower(strip_accents(substr(replace(text, chr(10), ' '), 1, 40))), '''', ''), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM documents WHERE lang IN ('en', 'fr', 'es')")
-def slug_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "documents").where(F.col("lang").isin("en", "fr", "es"))
-    return rows.select("doc_id", naming.node_id(F.substring(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), 1, 40)).alias("slug"))
+def _shapes(spark: SparkSession, sf_dir: str, rules: list[shapes.Shape], leaves: tuple[str, ...], types: tuple[str, ...]) -> DataFrame:
+    facts, subjects = shapes.project(graph(spark, sf_dir, leaves, types), _SHOP, inverse=shapes.inverse_paths(rules))
+    return shapes.run_shapes(facts, subjects, rules).select("rule_id", "id", "property_name", "value")
+
+
+@query(
+    "SELECT 'P1' AS rule_id, p_partkey::VARCHAR AS id, 'size' AS property_name, p_size::VARCHAR AS value FROM part WHERE p_size NOT BETWEEN 3 AND 48 UNION ALL SELECT 'P1', p_partkey::VARCHAR, 'brand', p_brand FROM part WHERE p_brand = 'Brand#11' UNION ALL SELECT 'P2', c_custkey::VARCHAR, 'segment', c_mktsegment FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'AUTOMOBILE') UNION ALL SELECT 'P3', s_suppkey::VARCHAR, 'inNation', s_nationkey::VARCHAR FROM supplier"
+)
+def shape_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [
+        shapes.Shape("P1", "values of a part", (shapes.Atom("size", 1, 1, "integer", 3, 48), shapes.Atom("brand", 1, 1, not_among=("Brand#11",)), shapes.Atom("price", 1, 1, "decimal", above=0)), ("Object",)),
+        shapes.Shape("P2", "segment of the list", (shapes.Atom("segment", 1, 1, among=("BUILDING", "AUTOMOBILE")),), ("Customer",)),
+        shapes.Shape("P3", "in one region", (shapes.Atom("inNation", 1, 1, cls="Region"),), ("Supplier",)),
+    ]
+    return _shapes(spark, sf_dir, rules, ("Part", "Customer", "Supplier", "Nation"), ("IN_NATION",))
+
+
+@query(
+    "SELECT 'C1' AS rule_id, o_orderkey::VARCHAR AS id, NULL::VARCHAR AS property_name, ((o_orderstatus = 'F')::INT + (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 100000)::INT)::VARCHAR AS value FROM orders WHERE ((o_orderstatus = 'F')::INT + (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 100000)::INT) <> 1 UNION ALL SELECT 'C2', n_nationkey::VARCHAR, '^inNation', count(s_suppkey)::VARCHAR || ' values' FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey HAVING count(s_suppkey) NOT BETWEEN 2 AND 5"
+)
+def shape_choices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = (shapes.Atom("status", 1, among=("F",)),)
+    pressing = (shapes.Atom("priority", 1, among=("1-URGENT", "2-HIGH")), shapes.Atom("total", 1, above=100000))
+    rules = [shapes.Shape("C1", "done or pressing, not both", (shapes.Choice((done, pressing), just_one=True),), ("Order",)), shapes.Shape("C2", "two to five suppliers", (shapes.Atom("^inNation", 2, 5),), ("Nation",))]
+    g = graph(spark, sf_dir, ("Order", "Nation", "Supplier"), ("IN_NATION",))
+    g = Graph(g.nodes, g.edges.where("src_label = 'Supplier'"))
+    facts, subjects = shapes.project(g, _SHOP, inverse=["inNation"])
+    return shapes.run_shapes(facts, subjects, rules).select("rule_id", "id", "property_name", "value")
+
+
+@query(
+    "WITH e AS (SELECT l_partkey p, l_suppkey s, count(*) n FROM lineitem GROUP BY 1, 2) SELECT 'E1' AS rule_id, p::VARCHAR AS id, 'count' AS property_name, n::VARCHAR AS value FROM e WHERE n > 1 UNION ALL SELECT 'T1', p_partkey::VARCHAR, 'size', p_size::DOUBLE || '/' || p_retailprice::DOUBLE FROM part WHERE p_size > p_retailprice - 900"
+)
+def shape_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [shapes.Shape("E1", "bought from a supplier once", (shapes.Atom("count", 1, 1, "integer", 1, 1),), predicate="suppliedBy", scope=("Part",)), shapes.Shape("T1", "size below price", (shapes.Together("size", "price"),), ("Part",))]
+    g = graph(spark, sf_dir, ("Part",), ("SUPPLIED_BY",))
+    cheap = F.struct(*[(F.col("props.price") - 900 if f == "price" else F.col(f"props.{f}")).alias(f) for f in struct_fields(g.nodes, "props")])
+    facts, subjects = shapes.project(Graph(g.nodes.withColumn("props", cheap), g.edges), _SHOP)
+    found = shapes.run_shapes(facts, subjects, rules).select("rule_id", "id", "property_name", "value")
+    parts = _read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_retailprice").cast("string").alias("_price"))
+    # the value as the table has it
+    return found.join(parts, "id").select("rule_id", "id", "property_name", F.when(F.col("rule_id") == "T1", F.concat(F.split("value", "/")[0], F.lit("/"), F.col("_price"))).otherwise(F.col("value")).alias("value"))
+
+
+# --- names and text --------------------------------------------------------
 
 
 @query()
-def slug_whole_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def slug_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The slugs of the whole texts of all documents; no SQL, since strip_accents differs on compatibility forms."""
     return _read(spark, sf_dir, "documents").select("doc_id", naming.node_id(F.col("text")).alias("slug"))
 
@@ -116,10 +157,10 @@ def whitespace_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", F.md5(naming.normalize_space(F.col("text"))).alias("digest"))
 
 
-@query("SELECT p_partkey, p_type, len(regexp_extract_all(p_type, '(ECONOMY|STANDARD|PROMO|SMALL|LARGE|MEDIUM|BRASS|TIN|STEEL)')) AS codes FROM part")
+@query("SELECT p_partkey, p_type, array_to_string(regexp_extract_all(p_type, '(ECONOMY|STANDARD|PROMO|SMALL|LARGE|MEDIUM|BRASS|TIN|STEEL)'), ',') AS codes, regexp_replace(p_type, '(ECONOMY|STANDARD|PROMO|SMALL|LARGE|MEDIUM|BRASS|TIN|STEEL)', '', 'g') AS rest FROM part")
 def code_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = naming.game_codes(F.col("p_type"), ["ECONOMY", "STANDARD", "PROMO", "SMALL", "LARGE", "MEDIUM", "BRASS", "TIN", "STEEL"])
-    return _read(spark, sf_dir, "part").select("p_partkey", "p_type", F.size(found["codes"]).cast("long").alias("codes"))
+    return _read(spark, sf_dir, "part").select("p_partkey", "p_type", F.array_join(found["codes"], ",").alias("codes"), found["rest"].alias("rest"))
 
 
 @query("SELECT n_nationkey, CASE WHEN n_nationkey BETWEEN 1 AND 24 THEN ['I','II','III','IV','V','VI','VII','VIII','IX','X','XI','XII','XIII','XIV','XV','XVI','XVII','XVIII','XIX','XX','XXI','XXII','XXIII','XXIV'][n_nationkey] END AS numeral, CASE WHEN n_nationkey >= 1 THEN n_nationkey ELSE -1 END AS back FROM nation")
@@ -128,28 +169,43 @@ def roman_numerals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("back", F.coalesce(naming.read_roman(F.col("numeral")), F.lit(-1)))
 
 
-@query()
+_MERGE_STEP = "list_reduce(list_prepend('', string_split(text, chr(10))), lambda acc, x: CASE WHEN length(string_split(acc, chr(1))[-1]) > 0 THEN acc || ' ' || x ELSE acc || x END || CASE WHEN length(CASE WHEN length(string_split(acc, chr(1))[-1]) > 0 THEN string_split(acc, chr(1))[-1] || ' ' || x ELSE x END) >= 100 THEN chr(1) ELSE '' END)"
+_MERGE_SQL = f"""
+WITH folded AS (SELECT doc_id, string_split({_MERGE_STEP}, chr(1)) AS parts FROM documents),
+merged AS (SELECT doc_id, CASE WHEN parts[-1] = '' THEN parts[:-2] WHEN len(parts) = 1 THEN parts ELSE list_append(parts[:-3], parts[-2] || ' ' || parts[-1]) END AS m FROM folded)
+SELECT doc_id, CASE WHEN m IS NULL THEN -1 ELSE len(m) END::INT AS chunks, md5(array_to_string(m, chr(10))) AS digest FROM merged
+"""
+
+
+@query(_MERGE_SQL)
 def short_paragraph_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = wikitext.merge_short_column(F.split("text", "\n"))
-    return _read(spark, sf_dir, "documents").select("doc_id", F.size(merged).alias("chunks"), F.md5(F.array_join(merged, "\n")).alias("digest"))
+    return _read(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.size(merged), F.lit(-1)).alias("chunks"), F.md5(F.array_join(merged, "\n")).alias("digest"))
 
 
-@query("SELECT l_orderkey, 'line' AS aspect, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS ordinal, l_partkey FROM lineitem")
+@query("SELECT l_orderkey::VARCHAR AS subject, l_returnflag AS aspect, l_linestatus || l_quantity::INT AS text, CASE WHEN l_returnflag = 'R' THEN substr(sha256(l_linestatus || l_quantity::INT), 1, 8) ELSE (row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey))::VARCHAR END AS key FROM lineitem")
 def chunk_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    return _read(spark, sf_dir, "lineitem").select("l_orderkey", F.lit("line").alias("aspect"), F.row_number().over(w).cast("long").alias("ordinal"), "l_partkey")
+    lines = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("subject"), F.col("l_returnflag").alias("aspect"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("seq"), F.concat("l_linestatus", F.col("l_quantity").cast("int").cast("string")).alias("text"))
+    return sequence.number_chunks(lines, ["R"]).select("subject", "aspect", "text", "key")
 
 
-@query("SELECT event_id, coalesce(last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), -1) AS subject FROM events")
+@query("SELECT event_id, coalesce(CASE WHEN last_value(CASE WHEN event_type IN ('signup', 'error') THEN event_type END IGNORE NULLS) OVER w = 'signup' THEN last_value(CASE WHEN event_type IN ('signup', 'error') THEN event_id END IGNORE NULLS) OVER w END, -1) AS subject FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 def running_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return _read(spark, sf_dir, "events").select("event_id", F.coalesce(F.last(F.when(F.col("event_type") == "signup", F.col("event_id")), ignorenulls=True).over(w), F.lit(-1)).alias("subject"))
+    rows = sequence.running(_read(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.when(F.col("event_type") == "signup", F.col("event_id")), F.col("event_type") == "error", "subject")
+    return rows.select("event_id", F.coalesce("subject", F.lit(-1)).alias("subject"))
 
 
-@query("SELECT o_custkey, arg_max(o_orderkey, (CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END, o_orderdate, o_orderkey)) AS picked FROM orders GROUP BY o_custkey")
+@query("WITH s AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey % 9 + 1 END AS first_gen, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderkey % 9 + 1 + o_orderkey % 4 END AS last_gen FROM orders), r AS (SELECT *, CASE WHEN first_gen IS NULL THEN 1 WHEN first_gen <= 9 AND coalesce(last_gen, 99) >= 9 THEN 2 ELSE 0 END AS rank, CASE WHEN first_gen IS NULL THEN 0 ELSE coalesce(last_gen, 99) END AS until FROM s) SELECT o_custkey, arg_max(o_orderkey, (rank, until, -o_orderkey)) AS picked FROM r GROUP BY o_custkey")
 def span_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = F.max_by("o_orderkey", F.struct((F.col("o_orderstatus") == "F").cast("int"), "o_orderdate", "o_orderkey"))
-    return _read(spark, sf_dir, "orders").groupBy("o_custkey").agg(best.alias("picked"))
+    gen = F.col("o_orderkey") % 9 + 1
+    rows = _read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.when(F.col("o_orderstatus") != "P", gen).alias("first"), F.when((F.col("o_orderstatus") != "O") & (F.col("o_orderstatus") != "P"), gen + F.col("o_orderkey") % 4).alias("last"))
+    return sequence.pick_span(rows, ["o_custkey"], "o_orderkey", 9).select("o_custkey", F.col("o_orderkey").alias("picked"))
+
+
+@query("SELECT o_orderkey::VARCHAR AS id, o_custkey || ':' || o_orderstatus || ':' || row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderkey) AS residue FROM orders")
+def residue_numbering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").alias("page"), F.col("o_orderstatus").alias("kind"), F.col("o_orderkey").alias("seq"))
+    return sequence.residue_ids(rows).select("id", "residue")
 
 
 @query("SELECT l_partkey, min(l_orderkey) AS first_seen, count(DISTINCT l_returnflag) AS flags FROM lineitem GROUP BY l_partkey")
@@ -165,11 +221,10 @@ def fuzzy_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.look_up(mentions, nodes)
 
 
-@query("SELECT c_nationkey, id, rank FROM (SELECT c_nationkey, c_custkey::VARCHAR AS id, row_number() OVER (PARTITION BY c_nationkey ORDER BY (CASE WHEN c_mktsegment <> 'BUILDING' THEN 1 ELSE 0 END), c_acctbal DESC, length(c_name), c_custkey::VARCHAR) AS rank FROM customer) WHERE rank <= 15")
+@query("SELECT position, id, rank FROM (SELECT c_nationkey AS position, c_custkey::VARCHAR AS id, row_number() OVER (PARTITION BY c_nationkey ORDER BY (CASE WHEN c_mktsegment <> 'BUILDING' THEN 1 ELSE 0 END), c_acctbal DESC, length(c_name), c_custkey::VARCHAR) AS rank FROM customer) WHERE rank <= 15")
 def rank_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("c_nationkey").orderBy((F.col("c_mktsegment") != "BUILDING").cast("int"), F.desc("c_acctbal"), F.length("c_name"), F.col("c_custkey").cast("string"))
-    rows = _read(spark, sf_dir, "customer").select("c_nationkey", F.col("c_custkey").cast("string").alias("id"), F.row_number().over(w).cast("long").alias("rank"))
-    return rows.where("rank <= 15")
+    rows = _read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("position"), F.lit("BUILDING").alias("label"), F.col("c_mktsegment").alias("key_label"), F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("score"))
+    return resolve.rank_candidates(rows).select("position", "id", F.col("rank").cast("long").alias("rank"))
 
 
 # --- comparisons and evaluation --------------------------------------------
@@ -182,12 +237,12 @@ def set_symmetric_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.symmetric_difference(a, b, ["key"], ("customer", "order"))
 
 
-@query("SELECT key, coalesce(old_version, -1) AS old_version, coalesce(new_version, -1) AS new_version, CASE WHEN old_version IS NULL THEN 'added' WHEN new_version IS NULL THEN 'removed' ELSE 'changed' END AS change FROM (SELECT p_partkey AS key, p_size AS old_version FROM part WHERE p_partkey % 3 <> 0) FULL JOIN (SELECT p_partkey AS key, CASE WHEN p_size > 25 THEN p_size + 1 ELSE p_size END AS new_version FROM part WHERE p_partkey % 5 <> 0) USING (key) WHERE old_version IS DISTINCT FROM new_version")
+@query("WITH o AS (SELECT o_custkey AS key, max(o_orderkey) AS v FROM orders WHERE o_totalprice > 250000 GROUP BY 1), n AS (SELECT o_custkey AS key, max(o_orderkey) AS v FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1) SELECT key, coalesce(o.v, -1) AS old_version, coalesce(n.v, -1) AS new_version, CASE WHEN o.v IS NULL THEN 'added' WHEN n.v IS NULL THEN 'removed' ELSE 'changed' END AS change FROM o FULL JOIN n USING (key) WHERE o.v IS DISTINCT FROM n.v")
 def pin_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _read(spark, sf_dir, "part")
-    old = part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("key"), F.col("p_size").alias("version"))
-    new = part.where("p_partkey % 5 <> 0").select(F.col("p_partkey").alias("key"), F.when(F.col("p_size") > 25, F.col("p_size") + 1).otherwise(F.col("p_size")).alias("version"))
-    return compare.pin_changes(old, new, "key", "version").na.fill(-1, ["old_version", "new_version"])
+    """The latest large order of each customer, pinned, against the latest open one."""
+    orders = _read(spark, sf_dir, "orders")
+    latest = lambda rows: rows.groupBy(F.col("o_custkey").alias("key")).agg(F.max("o_orderkey").alias("version"))
+    return compare.pin_changes(latest(orders.where("o_totalprice > 250000")), latest(orders.where("o_orderstatus <> 'F'")), "key", "version").na.fill(-1, ["old_version", "new_version"])
 
 
 @query("SELECT p_partkey AS key, 'size' AS field, p_size::VARCHAR AS first_value, (p_size + 1)::VARCHAR AS second_value FROM part WHERE p_size > 40 UNION ALL SELECT p_partkey, 'brand', p_brand, NULL FROM part WHERE p_size < 3")
@@ -217,7 +272,7 @@ def totals_by_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_type, count(*) AS n, count(*) FILTER (value > 50) AS large, count(*) FILTER (value IS NULL) AS none FROM events GROUP BY 1")
 def conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 50).alias("large"), F.count_if(F.col("value").isNull()).alias("none"))
+    return compare.count_cases(_read(spark, sf_dir, "events"), ["event_type"], {"large": F.col("value") > 50, "none": F.col("value").isNull()})
 
 
 @query("SELECT least(count(*), 5000) AS shown, count(*) > 5000 AS truncated FROM orders")
