@@ -34,11 +34,16 @@ _local = "local"
 _folders: dict[str, str] = {}
 
 
-def _discard(spark: SparkSession, path: str) -> None:
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder, if it is there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _discard_at_exit(spark: SparkSession, path: str) -> None:
     try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        discard(spark, path)
     except Exception:  # the session may have ended before
         return
 
@@ -53,7 +58,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lattica/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_discard, spark, path)
+    atexit.register(_discard_at_exit, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

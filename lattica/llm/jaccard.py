@@ -540,14 +540,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each component, of its least id, and all rows without an id.
 
     Rows that repeat an id are told apart by their shingle sets: of those with
-    one set, or without shingles, one stays; those in different components
-    stay each.
+    one set, or without shingles, one stays, that of the least text; those in
+    different components stay each. Null and empty texts have no shingles, are
+    near copies of nothing and stay. An empty table gives an empty table.
+    Columns are those of ``docs``, whatever their names.
     """
     rows = written(_components(docs).where("doc_id is not null"), "jaccard-rows")
-    ids = rows.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("_least"))
-    of_least = docs.join(ids.where("_least"), docs["doc_id"] == ids["_id"])
-    once = of_least.where("_rows = 1").select(*docs.columns)
-    kept = rows.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_id"), "part").agg(F.min("node").alias("_kept")).drop("part")
-    repeated = of_least.where("_rows > 1").select(*docs.columns, _set_keys(F.col("text")).alias("_key")).dropDuplicates(["doc_id", "_key"])
-    repeated = repeated.join(kept, (F.col("doc_id") == F.col("_id")) & F.col("_key").eqNullSafe(F.col("_kept")), "left_semi").select(*docs.columns)
+    ids = rows.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("least"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    of_least = packed.join(ids.where("least"), "doc_id")
+    once = of_least.where("rows = 1").select("row.*")
+    kept = rows.where("doc_id = component_id").groupBy("doc_id", "part").agg(F.min("node").alias("kept")).drop("part")
+    repeated = of_least.where("rows > 1").withColumn("key", _set_keys(F.col("text")))
+    chosen = repeated.join(kept, (repeated["doc_id"] == kept["doc_id"]) & repeated["key"].eqNullSafe(kept["kept"]), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy("text"))
+    repeated = chosen.withColumn("nth", first).where("nth = 1").select("row.*")
     return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))

@@ -99,18 +99,26 @@ def mix(docs: DataFrame, **options: object) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each as often as :func:`mix_plan` says.
 
     Ids must tell rows apart as far as their copies matter; rows that share an
-    id and source pool their copies and each gets the same share, the first
-    ones one more. Columns are those of ``docs``.
+    id, source and size pool their copies and each gets the same share, the
+    first ones one more. Null ids, sources and texts are values of their own.
+    Columns are those of ``docs``, whatever their names; an empty table gives
+    an empty table.
     """
     id_column, source_column = str(options.get("id_column", "doc_id")), str(options.get("source_column", "source"))
     plan = mix_plan(docs, **options)  # type: ignore[arg-type]
-    wanted = plan.groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0")
+    key = ["doc_id", "source", "size"]
+    wanted = plan.groupBy(*key).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
     size = options.get("size")
-    left = docs.withColumn("_mix_size", (word_count(F.col("text")) if size is None else size).cast("long"))
-    same = F.col(f"d.{id_column}").eqNullSafe(F.col("w.doc_id")) & F.col(f"d.{source_column}").eqNullSafe(F.col("w.source")) & (F.col("d._mix_size") == F.col("w.size"))
-    out = left.alias("d").join(wanted.alias("w"), same).select(*[F.col(f"d.{c}").alias(c) for c in docs.columns], F.col("w._copies").alias("_copies"), F.col("w._rows").alias("_rows"), F.col("d._mix_size").alias("_mix_size"))
-    single = out.where("_rows = 1")
-    alike = Window.partitionBy(id_column, source_column, "_mix_size").orderBy("text")
-    shared = out.where("_rows > 1").withColumn("_nth", F.row_number().over(alike)).withColumn("_copies", F.expr("_copies div _rows + int(_nth <= _copies % _rows)")).drop("_nth")
-    out = single.unionByName(shared).where("_copies > 0")
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(id_column).alias("doc_id"),
+        F.col(source_column).alias("source"),
+        (word_count(F.col("text")) if size is None else size).cast("long").alias("size"),  # type: ignore[attr-defined]
+        F.md5(F.col("text").cast("binary")).alias("text"),
+    )
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in key]
+    out = packed.alias("d").join(wanted.alias("w"), same).select(*[f"d.{c}" for c in packed.columns], "w.copies", "w.rows")
+    alike = Window.partitionBy(*key).orderBy("text")
+    shared = out.where("rows > 1").withColumn("nth", F.row_number().over(alike)).withColumn("copies", F.expr("copies div rows + int(nth <= copies % rows)")).drop("nth")
+    out = out.where("rows = 1").unionByName(shared).where("copies > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

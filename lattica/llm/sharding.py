@@ -15,11 +15,11 @@ import heapq
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lattica.llm.common import hash_bucket, written
+from lattica.llm.common import discard, hash_bucket, written
 
 OLD_SHARDS = 16
 NEW_SHARDS = 24
@@ -120,6 +120,57 @@ def assign_blocks(blocks: Sequence[Block], n_new: int) -> dict[tuple[int, int],
     return placed
 
 
+@dataclass(frozen=True)
+class Placement:
+    """Where blocks go: (old shard, block) -> new shard, and the slot that the block's rows start at."""
+
+    shards: dict[tuple[int, int], int]
+    starts: dict[tuple[int, int], int]
+    n_new: int
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        schema = T.StructType([T.StructField("old_shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("start", T.LongType())])
+        return F.broadcast(spark.createDataFrame([(*key, s, self.starts[key]) for key, s in self.shards.items()], schema))  # a row for each block, a number that parameters fix
+
+    def affected(self) -> set[int]:
+        """Shards that gain or lose a block."""
+        return {s for (old, _), new in self.shards.items() if old != new for s in (old, new)}
+
+    def emptied(self) -> set[int]:
+        """Shards that lose all they had."""
+        return {old for old, _ in self.shards} - set(self.shards.values())
+
+
+def _place(blocks: DataFrame, n_new: int) -> Placement:
+    """The placement of blocks, from (old_shard, block, size, n) rows, one for each block."""
+    found = sorted((Block(r.old_shard, r.block, r["size"], r.n) for r in blocks.collect()), key=lambda b: (b.old, b.block))
+    placed = assign_blocks(found, n_new)
+    starts, at = {}, [0] * n_new
+    for b in found:
+        s = placed[b.old, b.block]
+        starts[b.old, b.block] = at[s]
+        at[s] += b.rows
+    return Placement(placed, starts, n_new)
+
+
+def _blocked(docs: DataFrame, old_shard: Column | None, n_old: int, blocks: int, id_column: str) -> list[Column]:
+    """Columns doc_id, size, text_crc32, old_shard and block of ``docs``."""
+    text, key = F.col("text"), F.col(id_column)
+    old = hash_bucket(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit("/old")), n_old) if old_shard is None else old_shard.cast("int")
+    spread = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit("/"), F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("string"))
+    return [
+        key.alias("doc_id"),
+        (F.coalesce(F.octet_length(text), F.lit(0)) + PER_ROW).cast("long").alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        old.alias("old_shard"),
+        hash_bucket(spread, blocks).alias("block"),
+    ]
+
+
+def _sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+
+
 def reshard_plan(docs: DataFrame, *, old_shard: Column | None = None, n_old: int = OLD_SHARDS, n_new: int = NEW_SHARDS, blocks: int = BLOCKS, id_column: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: (doc_id, size, text_crc32, old_shard, shard, slot).
 
@@ -129,46 +180,57 @@ def reshard_plan(docs: DataFrame, *, old_shard: Column | None = None, n_old: int
     own; an empty table gives an empty table; other columns are not read. At
     most ``n_old`` times ``blocks`` rows reach the driver.
     """
-    spark = docs.sparkSession
-    text, key = F.col("text"), F.col(id_column)
-    old = hash_bucket(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit("/old")), n_old) if old_shard is None else old_shard.cast("int")
-    rows = written(
-        docs.select(
-            key.alias("doc_id"),
-            (F.coalesce(F.octet_length(text), F.lit(0)) + PER_ROW).cast("long").alias("size"),
-            F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-            old.alias("old_shard"),
-            hash_bucket(key, blocks).alias("block"),
-        ),
-        "shard-rows",
-    )
-    sizes = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    found = [Block(r.old_shard, r.block, r["size"], r.n) for r in sizes]
-    placed = assign_blocks(found, n_new)
-    starts, at = [], [0] * n_new
-    for b in sorted(found, key=lambda b: (b.old, b.block)):
-        s = placed[b.old, b.block]
-        starts.append((b.old, b.block, s, at[s]))
-        at[s] += b.rows
-    schema = T.StructType([T.StructField("old_shard", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("start", T.LongType())])
-    table = F.broadcast(spark.createDataFrame(starts, schema))  # n_old * blocks rows at most
+    rows = written(docs.select(*_blocked(docs, old_shard, n_old, blocks, id_column)), "shard-rows")
+    table = _place(_sizes(rows), n_new).table(docs.sparkSession)
     nth = F.row_number().over(Window.partitionBy("old_shard", "block").orderBy("doc_id", "size", "text_crc32"))
-    return rows.withColumn("_nth", nth).join(table, ["old_shard", "block"]).select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("start") + F.col("_nth") - 1).alias("slot"))
+    return rows.withColumn("nth", nth).join(table, ["old_shard", "block"]).select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("start") + F.col("nth") - 1).alias("slot"))
+
+
+def reshard(docs: DataFrame, *, old_shard: Column | None = None, n_old: int = OLD_SHARDS, n_new: int = NEW_SHARDS, blocks: int = BLOCKS, id_column: str = "doc_id") -> DataFrame:
+    """``docs`` with size, text_crc32, old_shard, shard and slot as :func:`reshard_plan` gives them.
+
+    Rows travel once, to be numbered within their block. Columns of ``docs``
+    of these names are replaced; nulls, repeated rows and empty tables are as
+    in the plan.
+    """
+    added = ["size", "text_crc32", "old_shard", "shard", "slot"]
+    keys = docs.select(*_blocked(docs, old_shard, n_old, blocks, id_column))
+    table = _place(_sizes(keys), n_new).table(docs.sparkSession)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("row")
+    rows = docs.select(row, *_blocked(docs, old_shard, n_old, blocks, id_column))
+    nth = F.row_number().over(Window.partitionBy("old_shard", "block").orderBy("doc_id", "size", "text_crc32"))
+    return rows.withColumn("nth", nth).join(table, ["old_shard", "block"]).select("row.*", "size", "text_crc32", "old_shard", "shard", (F.col("start") + F.col("nth") - 1).alias("slot"))
 
 
 def affected_shards(plan: DataFrame) -> DataFrame:
-    """Shards whose files change: (shard, bytes_in, rows_in), from rows that come from elsewhere."""
+    """Shards whose files change: (shard, bytes_in, rows_in), from rows that come from elsewhere.
+
+    An empty plan, or one that moves nothing, gives no rows.
+    """
     moved = plan.where("shard <> old_shard")
     gained = moved.select("shard", "size", F.lit(1).alias("n"))
     lost = moved.select(F.col("old_shard").alias("shard"), F.lit(0).cast("long").alias("size"), F.lit(0).alias("n"))
     return gained.unionByName(lost).groupBy("shard").agg(F.sum("size").alias("bytes_in"), F.sum("n").cast("long").alias("rows_in"))
 
 
-def rewrite_shards(docs: DataFrame, plan: DataFrame, path: str, id_column: str = "doc_id") -> None:
-    """Writes the files of the affected shards, one folder ``shard=N`` each, and leaves all others as they are.
+def rewrite_shards(docs: DataFrame, path: str, *, old_shard: Column | None = None, n_old: int = OLD_SHARDS, n_new: int = NEW_SHARDS, blocks: int = BLOCKS, id_column: str = "doc_id") -> list[int]:
+    """Writes the files of the affected shards, one folder ``shard=N`` each, and leaves all others as they are; returns their numbers.
 
-    Needs ids that tell rows apart.
+    Every row goes where its block goes, so rows without an id and rows that
+    repeat one keep their number. Folders of shards that lose all their rows
+    are removed. A column ``shard`` of ``docs`` gives way to the folders'
+    number. An empty table, or one that moves nothing, writes nothing. ``docs``
+    must not read the files that are replaced.
     """
-    changed = plan.join(affected_shards(plan).select("shard"), "shard", "left_semi").select(F.col("doc_id").alias("_id"), "shard")
-    rows = docs.join(changed, docs[id_column] == changed["_id"]).drop("_id")
+    spark = docs.sparkSession
+    placement = _place(_sizes(docs.select(*_blocked(docs, old_shard, n_old, blocks, id_column))), n_new)
+    affected = placement.affected()
+    if not affected:
+        return []
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "shard"]).alias("row")
+    rows = docs.select(row, *_blocked(docs, old_shard, n_old, blocks, id_column)).join(placement.table(spark), ["old_shard", "block"])
+    rows = rows.where(F.col("shard").isin(*affected)).repartition("shard", "block").select("row.*", "shard")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    for s in placement.emptied():
+        discard(spark, f"{path}/shard={s}")
+    return sorted(affected)

@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 
 #: Labelled rows of either class that training may see; more labels don't change its cost.
 SAMPLE = 1500
+#: Bytes of a labelled text; longer ones are left out of the sample. With SAMPLE, bounds what reaches the driver.
+SAMPLE_BYTES = 100_000
 #: Of the sample, the share that trains dictionaries; the rest calibrates.
 FIT = 0.6
 THRESHOLD = 0.7
@@ -213,15 +215,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from at most ``sample`` labelled rows of either class, those with the least hash of the id.
 
     Labels other than 0 and 1 and null ids don't count; an id that is labelled
-    twice is toxic if either label is. The share of either label is counted
-    over all labels in training.
+    twice is toxic if either label is; of an id with several texts the least
+    counts. Texts of more than SAMPLE_BYTES are left out. The share of either
+    label is counted over all labels in training. Equal inputs give equal models.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & in_training(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     shares = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     by_hash = known.withColumn("_h", F.md5(F.col("doc_id").cast("string").cast("binary")))
     chosen = by_hash.where("toxic = 1").orderBy("_h", "doc_id").limit(sample).unionByName(by_hash.where("toxic = 0").orderBy("_h", "doc_id").limit(sample))
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).orderBy("_h", "doc_id").select("text", "toxic").collect()
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_BYTES)
+    rows = texts.groupBy("doc_id", "_h", "toxic").agg(F.min("text").alias("text")).orderBy("_h", "doc_id").select("text", "toxic").collect()
     return train([(r.text, r.toxic) for r in rows], shares.get(1, 0) / max(1, sum(shares.values())))
 
 
