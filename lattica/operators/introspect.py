@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,3 +132,93 @@ def fingerprint(graph: Graph) -> DataFrame:
 def property_names(graph: Graph) -> list[str]:
     """id and name first, then by name."""
     return ["id", "name", *sorted(struct_fields(graph.nodes, "props"))]
+
+
+def relationship_shapes(graph: Graph) -> DataFrame:
+    """(type, property, kind, n, mandatory) of edge properties: mandatory if every edge of the type has it."""
+    fields = graph.edges.schema["props"].dataType.fields
+    counts = graph.edges.groupBy("type").agg(F.count("*").alias("_all"), *[F.count(f"props.{f.name}").alias(f"_n_{f.name}") for f in fields])
+    pairs = F.array(*[F.struct(F.lit(f.name).alias("property"), F.lit(f.dataType.simpleString()).alias("kind"), F.col(f"_n_{f.name}").alias("n")) for f in fields])
+    return counts.select("type", "_all", F.explode(pairs).alias("_p")).select("type", "_p.*", (F.col("_p.n") == F.col("_all")).alias("mandatory")).where("n > 0")
+
+
+def relationship_enums(graph: Graph, most: int = MAX_ENUM) -> DataFrame:
+    """(type, property, value) of text properties of edges with at most ``most`` values."""
+    texts = [f.name for f in graph.edges.schema["props"].dataType.fields if f.dataType.simpleString() == "string"]
+    if not texts:
+        return graph.edges.select("type", F.lit("").alias("property"), F.lit("").alias("value")).limit(0)
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("property"), F.col(f"props.{f}").alias("value")) for f in texts])).alias("_p")
+    values = graph.edges.select("type", pairs).select("type", "_p.*").where("value is not null").distinct()
+    return values.join(values.groupBy("type", "property").agg(F.count("*").alias("_n")).where(F.col("_n") <= most).drop("_n"), ["type", "property"])
+
+
+def plain_type(raw: Column) -> Column:
+    """A property's type without what says that it is required."""
+    return F.trim(F.regexp_replace(raw, r"\s+NOT NULL\b", ""))
+
+
+def schema(graph: Graph, ancestors: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The whole schema in rows (part, name, detail, n), sorted: leaves, their properties with enums, edge types, their properties, patterns."""
+    values = enum_values(graph).groupBy("leaf", "property").agg(F.array_join(F.array_sort(F.collect_set("value")), "|").alias("values"))  # MAX_ENUM values each
+    shapes = property_shapes(graph).join(values, ["leaf", "property"], "left")
+    detail = F.concat(plain_type(F.col("type")), F.when(F.col("mandatory"), "").otherwise("?"), F.coalesce(F.concat(F.lit(" "), F.col("values")), F.lit("")))
+    edge_detail = F.concat("kind", F.when(F.col("mandatory"), "").otherwise("?"))
+    parts = [
+        count_leaves(graph, ancestors).select(F.lit("leaf").alias("part"), F.col("leaf").alias("name"), F.lit("").alias("detail"), "n"),
+        shapes.select(F.lit("property"), F.concat_ws(".", "leaf", "property"), detail, "n"),
+        count_types(graph).select(F.lit("type"), "type", F.lit(""), "n"),
+        relationship_shapes(graph).select(F.lit("type property"), F.concat_ws(".", "type", "property"), edge_detail, "n"),
+        count_patterns(graph).select(F.lit("pattern"), F.concat(F.col("start_leaf"), F.lit("-"), F.col("type"), F.lit("->"), F.col("end_leaf")), F.lit(""), "n"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
+
+
+FAILING = ("label set", "edge typing", "missing")
+
+
+def sweep(graph: Graph, expected: DataFrame, domains: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All checks of a graph at rest: (check, subject, n, failing).
+
+    Label sets that no class has, edges whose ends don't fit and missing
+    reference nodes fail a sweep; stubs and nodes without edges are told only.
+    """
+    sets = label_set_findings(graph, expected).select(F.lit("label set").alias("check"), F.col("labels").alias("subject"), "n")
+    faults = edge_typing_faults(graph, domains).where("start_faults + end_faults > 0").select(F.lit("edge typing"), "type", F.col("start_faults") + F.col("end_faults"))
+    missing = missing_nodes(graph, wanted).groupBy("key_label").agg(F.count("*").alias("n")).select(F.lit("missing"), "key_label", "n")
+    empty = stubs(graph, wanted.select(*NODE_KEY)).groupBy("key_label").agg(F.count("*").alias("n")).select(F.lit("stub"), "key_label", "n")
+    alone = orphans(graph).join(stubs(graph).select(*NODE_KEY), NODE_KEY, "left_semi").groupBy("key_label").agg(F.count("*").alias("n")).select(F.lit("orphan stub"), "key_label", "n")
+    rows = sets.union(faults).union(missing).union(empty).union(alone)
+    return rows.withColumn("failing", F.col("check").isin(*FAILING))
+
+
+def cached_schema(graph: Graph, ancestors: Mapping[str, Sequence[str]], path: str, refresh: bool = False) -> tuple[DataFrame, str]:
+    """The schema and how it came: HIT, MISSING, STALE, INVALID or REFRESHED. It is kept at ``path`` under the graph's fingerprint."""
+    spark = graph.nodes.sparkSession
+    now = fingerprint(graph).first()[0]
+    status = "REFRESHED"
+    if not refresh:
+        try:
+            kept = spark.read.parquet(path)
+            marks = [r.fingerprint for r in kept.select("fingerprint").distinct().limit(2).collect()]
+            status = "HIT" if marks == [now] else "STALE"
+            found = kept.select("part", "name", "detail", "n")
+        except AnalysisException as e:
+            status = "MISSING" if "PATH_NOT_FOUND" in str(e) else "INVALID"
+        if status == "HIT":
+            return found, status
+    schema(graph, ancestors).withColumn("fingerprint", F.lit(now)).coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).select("part", "name", "detail", "n"), status
+
+
+def foreign_rows(rows: DataFrame, column: str, universe_labels: Sequence[str]) -> DataFrame:
+    """Rows of a result whose node in ``column`` (a struct with labels) has none of a universe's labels; a guarded query may not return any."""
+    return rows.where(F.col(column).isNotNull() & ~F.arrays_overlap(F.col(f"{column}.labels"), F.array(*map(F.lit, universe_labels))))
+
+
+def shown(names: Column, most: int) -> Column:
+    """The first names of a sorted list, and how many more there are."""
+    rest = F.size(names) - most
+    return F.concat(F.array_join(F.slice(names, 1, most), ", "), F.when(rest > 0, F.concat(F.lit(" and "), rest.cast("string"), F.lit(" more"))).otherwise(""))

@@ -21,9 +21,17 @@ def _variants(token: Column) -> Column:
     return F.when(F.length(token) >= FUZZY_FROM, F.array_distinct(F.concat(F.array(token), cut))).otherwise(F.array(token))
 
 
+#: A name counts so much more than an alias; candidates below the floor are dropped.
+ALIAS_BOOST, SCORE_FLOOR = 1.0, 3.7
+
+
 def name_index(nodes: DataFrame) -> DataFrame:
-    """(variant, token, field_boost, key_label, id, name): one row per variant of a token of a name."""
-    rows = nodes.select("key_label", "id", "name", F.lit(NAME_BOOST).alias("boost"), F.explode(tokens(F.col("name"))).alias("token"))
+    """(variant, token, boost, key_label, id, name): one row per variant of a token of a name or, where the properties have ``aliases``, of an alias."""
+    fields = [f.name for f in nodes.schema["props"].dataType.fields] if "props" in nodes.columns else []
+    aliases = F.coalesce(F.col("props.aliases"), F.array().cast("array<string>")) if "aliases" in fields else F.array().cast("array<string>")
+    named = F.concat(F.array(F.struct(F.col("name").alias("text"), F.lit(NAME_BOOST).alias("boost"))), F.transform(aliases, lambda a: F.struct(a.alias("text"), F.lit(ALIAS_BOOST).alias("boost"))))
+    rows = nodes.select("key_label", "id", "name", F.explode(named).alias("_n")).select("key_label", "id", "name", "_n.boost", F.explode(tokens(F.col("_n.text"))).alias("token"))
+    rows = rows.groupBy("key_label", "id", "name", "token").agg(F.max("boost").alias("boost"))
     return rows.withColumn("variant", F.explode(_variants(F.col("token"))))
 
 

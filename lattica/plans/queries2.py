@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.functions import naming, wikitext
-from lattica.operators import compare, introspect, resolve, sequence, shapes, validate
+from lattica.operators import compare, introspect, pattern, resolve, runner, sequence, shapes, validate
 from lattica.operators.graph import Graph, is_stub, struct_fields
 from lattica.plans.projection import ANCESTORS, UNIVERSE, graph
 from lattica.plans.queries import _read, query
+from lattica.sources import tables
 from lattica.streaming.ingest import event_counts
 
 
@@ -290,3 +293,80 @@ def windowed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stub_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = graph(spark, sf_dir, ("Nation", "Customer"), ("IN_NATION",))
     return g.nodes.agg(F.count("*").alias("nodes"), F.count_if(is_stub(g.nodes)).alias("stubs"))
+
+
+@query("WITH e AS (SELECT l_partkey, l_suppkey, count(*) n FROM lineitem GROUP BY 1, 2), c AS (SELECT l_orderkey, l_partkey FROM lineitem GROUP BY 1, 2) SELECT 'SUPPLIED_BY' AS type, 'count' AS property, 'bigint' AS kind, count(*) AS n, true AS mandatory FROM e UNION ALL SELECT 'CONTAINS', unnest(['quantity', 'price', 'count']), unnest(['double', 'double', 'bigint']), (SELECT count(*) FROM c), true")
+def relationship_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return introspect.relationship_shapes(graph(spark, sf_dir, ("Part",), ("SUPPLIED_BY", "CONTAINS", "PLACED")))
+
+
+@query(
+    "SELECT 'leaf' AS part, 'Nation' AS name, '' AS detail, count(*) AS n FROM nation UNION ALL SELECT 'leaf', 'Customer', '', count(*) FROM customer UNION ALL SELECT 'property', 'Customer.acctbal', CASE WHEN count(c_acctbal) = count(*) THEN 'double' ELSE 'double?' END, count(c_acctbal) FROM customer UNION ALL SELECT 'property', 'Customer.segment', (CASE WHEN count(c_mktsegment) = count(*) THEN 'string ' ELSE 'string? ' END) || string_agg(DISTINCT c_mktsegment, '|' ORDER BY c_mktsegment), count(c_mktsegment) FROM customer UNION ALL SELECT 'type', 'IN_NATION', '', count(*) FROM customer UNION ALL SELECT 'pattern', 'Customer-IN_NATION->Nation', '', count(*) FROM customer"
+)
+def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return introspect.schema(graph(spark, sf_dir, ("Nation", "Customer"), ("IN_NATION",)), ANCESTORS)
+
+
+@query(
+    "SELECT 'label set' AS \"check\", 'Agent|Entity|Supplier' AS subject, count(*) AS n, true AS failing FROM supplier UNION ALL SELECT 'edge typing', 'IN_NATION', count(*), true FROM supplier UNION ALL SELECT 'missing', 'Customer', count(DISTINCT o_custkey), true FROM orders WHERE o_custkey + 100 NOT IN (SELECT c_custkey FROM customer) HAVING count(*) > 0 UNION ALL SELECT 'stub', 'Nation', count(*), false FROM nation UNION ALL SELECT 'orphan stub', 'Nation', count(*), false FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier UNION SELECT c_nationkey FROM customer) HAVING count(*) > 0"
+)
+def sweep_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = graph(spark, sf_dir, ("Nation", "Supplier", "Customer"), ("IN_NATION",))
+    expected = spark.createDataFrame([("Entity|Location|Nation",), ("Agent|Customer|Entity",)], "labels string")
+    domains = spark.createDataFrame([("IN_NATION", ["Customer"], ["Location"])], "type string, start_labels array<string>, end_labels array<string>")
+    wanted = _read(spark, sf_dir, "orders").select(F.lit(UNIVERSE).alias("universe"), F.lit("Customer").alias("key_label"), (F.col("o_custkey") + 100).cast("string").alias("id")).distinct()
+    return introspect.sweep(g, expected, domains, wanted)
+
+
+def _order_batch(spark: SparkSession, sf_dir: str) -> tuple[Graph, runner.Batch]:
+    """The graph of customers and their orders, and a batch of the customers with their finished orders, each claiming all it placed."""
+    g = graph(spark, sf_dir, ("Customer", "Order"), ("PLACED",))
+    done = _read(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("string").alias("dst_id"))
+    edges = g.edges.join(done, "dst_id", "left_semi").select(*g.edges.columns)
+    customers = g.nodes.where("key_label = 'Customer'")
+    none = F.lit(None)
+    stubs = g.nodes.where("key_label = 'Order'").join(done.withColumnRenamed("dst_id", "id"), "id", "left_semi").select(*g.nodes.columns)
+    stubs = stubs.withColumn("props", F.struct(*[none.cast(f.dataType).alias(f.name) for f in g.nodes.schema["props"].dataType.fields]))
+    claims = customers.select("universe", F.lit("Customer").alias("anchor_label"), F.col("id").alias("anchor_id"), F.lit("PLACED").alias("type"), F.lit("out").alias("direction"), F.lit("Order").alias("other_label"), F.lit(True).alias("owns_other_end"))
+    return g, runner.batch(customers, edges, stubs, claims)
+
+
+@query("SELECT 0::BIGINT AS nodes_created, count(*) FILTER (o_orderstatus <> 'F') AS nodes_deleted, (SELECT count(*) FROM customer) + count(*) FILTER (o_orderstatus = 'F') AS nodes_kept, 0::BIGINT AS edges_created, count(*) FILTER (o_orderstatus <> 'F') AS edges_deleted, count(*) FILTER (o_orderstatus = 'F') AS edges_kept FROM orders")
+def write_batch_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g, b = _order_batch(spark, sf_dir)
+    return runner.write_batch(g, b, UNIVERSE, list(ANCESTORS))[1]
+
+
+@query("SELECT o_custkey::VARCHAR AS anchor_id, count(*) AS kept FROM orders WHERE o_orderstatus = 'F' GROUP BY 1")
+def claim_rows_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, kept = runner.claim_rows(_order_batch(spark, sf_dir)[1], "out")
+    return kept.groupBy("anchor_id").agg(F.count("*").alias("kept"))
+
+
+@query("SELECT 'BN' AS rule_id, o_custkey::VARCHAR AS id, count(*)::VARCHAR AS value FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey HAVING count(*) > 1 UNION ALL SELECT 'BX', o_custkey::VARCHAR, 'Order/' || o_orderkey FROM orders WHERE o_orderstatus = 'P'")
+def batch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers taken as nodes once for each open order, with an edge to an order that the batch lacks."""
+    g = graph(spark, sf_dir, ("Customer",), ("PLACED",))
+    open_ = _read(spark, sf_dir, "orders").where("o_orderstatus = 'P'")
+    rows = open_.select(F.col("o_custkey").cast("string").alias("id")).join(g.nodes, "id").select(*g.nodes.columns)
+    edges = g.edges.join(open_.select(F.col("o_orderkey").cast("string").alias("dst_id")), "dst_id", "left_semi").select(*g.edges.columns)
+    return _only_ids(runner.check_batch(runner.batch(rows, edges)))
+
+
+@query("WITH n AS (SELECT n_nationkey AS id, 'Nation' AS label FROM nation UNION ALL SELECT r_regionkey, 'Region' FROM region), l AS (SELECT id, 'Location' AS label FROM n UNION ALL SELECT id, label FROM n) SELECT 'UQ' AS rule_id, id::VARCHAR AS id, label AS class_label, count(*)::VARCHAR AS value FROM l GROUP BY id, label HAVING count(*) > 1")
+def id_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runner.unique_ids(graph(spark, sf_dir, ("Nation", "Region"), ("IN_REGION",)).nodes, ["Location", "Nation", "Region"])
+    return found.select("rule_id", "id", "class_label", "value")
+
+
+@query("SELECT r_name AS name, count(n_nationkey) AS nations FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY 1")
+def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A graph written as a snapshot, then one without edges over it; the first, read back by its version."""
+    with_edges = graph(spark, sf_dir, ("Nation", "Region"), ("IN_REGION",))
+    root = f"{tables.scratch(spark)}/snapshots-{uuid.uuid4().hex}"
+    version = tables.commit_graph(spark, with_edges, root)
+    tables.commit_graph(spark, Graph(with_edges.nodes, with_edges.edges.limit(0)), root)
+    g, now = tables.read_graph(spark, root, version), tables.read_graph(spark, root)
+    regions = pattern.expand(Graph(g.nodes, g.edges), pattern.scan(g, "r", "Region"), "r", "IN_REGION", "n", direction="in", optional=True)
+    regions = pattern.without(now, regions, "r", "IN_REGION", direction="in")
+    return regions.groupBy(F.col("r.name").alias("name")).agg(F.count("n.id").alias("nations"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -47,16 +48,21 @@ def unpinned_pages(pages: DataFrame, pins: DataFrame) -> DataFrame:
 
 
 def manifest_pins(spark: SparkSession, path: str) -> DataFrame:
-    """(page_type, title, page_id, revision_id, sha1) of a manifest of pins by page type."""
+    """(page_type, title, page_id, revision_id, sha1) of a manifest of pins by page type; no rows where there is no file."""
     kind = "struct<page_types:map<string,array<struct<title:string,page_id:bigint,revision_id:bigint,sha1:string>>>>"
+    _, target, fs = _hadoop(spark, path)
+    if not fs.exists(target):
+        return spark.createDataFrame([], "page_type string, title string, page_id long, revision_id long, sha1 string")
     text = spark.read.option("wholetext", True).text(path).select(F.from_json("value", kind).alias("m"))
     return text.select(F.explode("m.page_types").alias("page_type", "pins")).select("page_type", F.inline("pins"))
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """Pages of a wiki export, one revision each, with hashes in hexadecimal and whether they hold."""
-    schema = "title string, ns int, id long, revision struct<id:long,timestamp:timestamp,text:string,sha1:string>"
+    """Pages of a wiki export, with hashes in hexadecimal and whether they hold. A page with any other number of revisions than one is an error when it is read."""
+    schema = "title string, ns int, id long, revision array<struct<id:long,timestamp:timestamp,text:string,sha1:string>>"
     rows = spark.read.format("xml").option("rowTag", "page").schema(schema).load(path)
+    only = F.when(F.size("revision") == 1, F.col("revision")[0]).otherwise(F.raise_error(F.concat(F.lit("one revision expected of "), F.col("title"))))
+    rows = rows.withColumn("revision", only)
     digest = F.lpad(hex_of_base36(F.col("revision.sha1")), 40, "0")
     text = F.coalesce(F.col("revision.text"), F.lit(""))
     return rows.select("title", F.col("ns").alias("namespace"), F.col("id").alias("page_id"), F.col("revision.id").alias("revision_id"), "revision.timestamp", digest.alias("sha1"), text.alias("wikitext"), (F.sha1(text) == digest).alias("intact"))
@@ -73,6 +79,25 @@ def commit_graph(spark: SparkSession, graph: Graph, root: str) -> str:
     return version
 
 
+def scratch(spark: SparkSession) -> str:
+    """A folder for tables that needn't last: the session's checkpoint folder or, where all tasks run on this machine and none is set, a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"file://{tempfile.mkdtemp(prefix='lattica-')}"
+
+
+def settled(graph: Graph) -> Graph:
+    """The graph as written tables in the scratch folder: what follows neither repeats nor stacks up what led to it."""
+    spark = graph.nodes.sparkSession
+    root = f"{scratch(spark)}/graph-{uuid.uuid4().hex}"
+    graph.nodes.write.parquet(f"{root}/nodes")
+    graph.edges.write.parquet(f"{root}/edges")
+    return Graph(spark.read.schema(graph.nodes.schema).parquet(f"{root}/nodes"), spark.read.schema(graph.edges.schema).parquet(f"{root}/edges"))
+
+
 def _hadoop(spark: SparkSession, path: str):  # noqa: ANN202
     jvm = spark.sparkContext._jvm
     found = jvm.org.apache.hadoop.fs.Path(path)
