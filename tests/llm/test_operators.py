@@ -84,10 +84,10 @@ def components(rows):
     return {i: find(i) for i in parent}
 
 
-@pytest.mark.parametrize("region, sample", [(64, 8192), (2, 8)])
-def test_jaccard_components(docs, rows, monkeypatch, region, sample):
-    monkeypatch.setattr(jaccard, "REGION", region)
-    monkeypatch.setattr(jaccard, "SAMPLE", sample)
+@pytest.mark.parametrize("region, sample, stuck, per_task", [(64, 8192, 512, 512), (2, 8, 4, 3)])
+def test_jaccard_components(docs, rows, monkeypatch, region, sample, stuck, per_task):
+    for name, value in (("REGION", region), ("SAMPLE", sample), ("SHARE", 20), ("STUCK", stuck), ("PER_TASK", per_task), ("DENSE", 1 if region == 2 else 4)):
+        monkeypatch.setattr(jaccard, name, value)
     got = jaccard.jaccard_components(docs).collect()
     assert len(got) == len(rows)
     want = components(rows)
@@ -112,6 +112,29 @@ def test_jaccard_keeps_one_where_ids_repeat(spark):
     assert [x for x in got if x[0] != 3] == sorted([(1, a), (1, b), (4, "p q r s t u v w"), (5, ""), (5, "k l m n o p q")])
 
 
+def test_jaccard_of_one_large_group(spark, monkeypatch):
+    """Copies of one text, each changed at random places, more of them than a region compares without pivots."""
+    r = random.Random(8)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for k in range(r.randint(0, 6)):
+            words[r.randrange(60)] = f"x{r.randrange(40)}"
+        rows.append((i, " ".join(words), "s"))
+    monkeypatch.setattr(jaccard, "PER_TASK", 32)
+    got = {x.doc_id: x.component_id for x in jaccard.jaccard_components(table(spark, rows)).collect()}
+    assert got == components(rows)
+
+
+def test_words_made_to_collide(spark):
+    word = "a"
+    while len(word) < 2048:  # the Thue-Morse word and its complement agree in every polynomial modulo 2**64
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(0, word, "s"), (5, word.translate(str.maketrans("ab", "ba")), "s")]
+    assert {x.component_id for x in jaccard.jaccard_components(table(spark, rows)).collect()} == {0, 5}
+
+
 def test_jaccard_empty(empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
@@ -246,13 +269,78 @@ def test_flow_is_cheapest():
 
 
 def test_rewrite_touches_only_affected_shards(spark, tmp_path):
-    docs = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(300)], "doc_id long, text string")
-    plan = sharding.reshard_plan(docs, n_old=4, n_new=5).cache()
-    sharding.rewrite_shards(docs, plan, str(tmp_path / "out"))
-    back = spark.read.parquet(str(tmp_path / "out"))
-    changed = {r.shard for r in plan.collect() if r.shard != r.old_shard} | {r.old_shard for r in plan.collect() if r.shard != r.old_shard}
-    assert {r.shard for r in back.select("shard").distinct().collect()} <= changed
-    assert {(r.doc_id, r.shard) for r in back.collect()} == {(r.doc_id, r.shard) for r in plan.collect() if r.shard in changed}
+    rows = [(i, "x" * (i % 50), "k") for i in range(300)] + [(None, "no id", "k"), (None, "no id", "k"), (None, None, "l"), (7, "twice", "m"), (7, "twice", "m"), (8, None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string").withColumn("row", F.lit("own"))
+    path = str(tmp_path / "out")
+    options = dict(n_old=4, n_new=5, blocks=8)
+    plan = sharding.reshard_plan(docs, **options).collect()
+    changed = {s for r in plan if r.shard != r.old_shard for s in (r.shard, r.old_shard)}
+    (tmp_path / "out" / "shard=77").mkdir(parents=True)
+    spark.createDataFrame([(1, "kept", "own")], "doc_id long, text string, row string").write.mode("overwrite").parquet(path + "/shard=77")
+    assert sharding.rewrite_shards(docs, path, **options) == sorted(changed)
+    back = spark.read.parquet(path)
+    assert [r.text for r in back.where("shard = 77").collect()] == ["kept"]
+    key = lambda x: tuple(str(v) for v in x)
+    got = sorted(((r.doc_id, zlib.crc32((r.text or "").encode()), r.shard) for r in back.where("shard <> 77").collect()), key=key)
+    assert got == sorted(((r.doc_id, r.text_crc32, r.shard) for r in plan if r.shard in changed), key=key)
+    assert sharding.rewrite_shards(docs.limit(0), path, **options) == []
+
+
+def test_rewrite_removes_shards_that_end_empty(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * 10) for i in range(200)], "doc_id long, text string")
+    path = str(tmp_path / "out")
+    old = F.col("doc_id") % 6
+    docs.withColumn("shard", old.cast("int")).write.partitionBy("shard").parquet(path)
+    sharding.rewrite_shards(docs, path, old_shard=old, n_old=6, n_new=3, blocks=8)
+    back = spark.read.parquet(path)
+    assert sorted(r.doc_id for r in back.collect()) == list(range(200)) and {r.shard for r in back.collect()} == {0, 1, 2}
+
+
+def test_reshard_carries_rows(docs, rows, empty):
+    got = sharding.reshard(docs)
+    assert set(got.columns) == {*docs.columns, "size", "text_crc32", "old_shard", "shard", "slot"}
+    found, plan = got.collect(), sharding.reshard_plan(docs).collect()
+    key = lambda r: (str(r.doc_id), r["size"], r.text_crc32, r.old_shard, r.shard, r.slot)
+    assert sorted(map(key, found)) == sorted(map(key, plan))
+    assert sorted(str(r.text) for r in found) == sorted(str(t) for _, t, _ in rows) and {r.node for r in found} == {"a"}
+    assert sharding.reshard(empty).count() == 0
+
+
+def brute_flow(supply, capacity):
+    """The least cost of shipping whole units, by trying every way."""
+    if not any(supply):
+        return 0
+    o = next(k for k, x in enumerate(supply) if x)
+    best = float("inf")
+    for s, room in enumerate(capacity):
+        if room:
+            rest = [x - (k == o) for k, x in enumerate(supply)], [x - (k == s) for k, x in enumerate(capacity)]
+            best = min(best, (o != s) + brute_flow(*rest))
+    return best
+
+
+def test_flow_against_every_way():
+    r = random.Random(2)
+    for _ in range(40):
+        supply, capacity = [r.randint(0, 2) for _ in range(3)], [r.randint(0, 3) for _ in range(3)]
+        if sum(capacity) < sum(supply):
+            continue
+        flow = sharding.min_cost_flow(supply, capacity, lambda o, s: int(o != s))
+        assert sum(n for (o, s), n in flow.items() if o != s) == brute_flow(supply, capacity)
+        assert all(sum(n for (o, _), n in flow.items() if o == k) == x for k, x in enumerate(supply))
+        assert all(sum(n for (_, s), n in flow.items() if s == k) <= x for k, x in enumerate(capacity))
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    names = ["rows", "least", "row", "copies", "_rows", "_copies", "nth", "key", "kept", "size", "_id", "d.w"]
+    rows = [(i, text if i < 3 else f"{i} " * (i + 6), "s", *["v"] * len(names)) for i in range(8)] + [(None, text, None, *["v"] * len(names))]
+    wide = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names))
+    kept = jaccard.keep_one(wide)
+    assert kept.columns == wide.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["0", "3", "4", "5", "6", "7", "None"]
+    mixed = mixing.mix(wide)
+    assert mixed.columns == wide.columns and mixed.count() == sum(r.copies for r in mixing.mix_plan(wide).collect())
+    assert sharding.reshard(wide).where("`d.w` = 'v'").count() == len(rows)
 
 
 def brute_repeats(rows, length=100):
