@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.functions import naming, wikitext
-from lattica.operators import compare, introspect, pattern, resolve, runner, sequence, shapes, validate
+from lattica.operators import compare, introspect, pattern, reference, resolve, runner, sequence, shapes, validate
 from lattica.operators.graph import Graph, is_stub, struct_fields
 from lattica.plans.projection import ANCESTORS, UNIVERSE, graph
 from lattica.plans.queries import _read, query
@@ -370,3 +370,37 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = pattern.expand(Graph(g.nodes, g.edges), pattern.scan(g, "r", "Region"), "r", "IN_REGION", "n", direction="in", optional=True)
     regions = pattern.without(now, regions, "r", "IN_REGION", direction="in")
     return regions.groupBy(F.col("r.name").alias("name")).agg(F.count("n.id").alias("nations"))
+
+
+@query("SELECT p_partkey::VARCHAR AS name, s_suppkey::VARCHAR AS code, CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN (p_partkey, s_suppkey) IN (SELECT (l_partkey, l_suppkey) FROM lineitem) THEN p_partkey || '-' || s_suppkey ELSE p_partkey::VARCHAR END AS id, p_partkey % 10 <> 0 AND (p_partkey, s_suppkey) NOT IN (SELECT (l_partkey, l_suppkey) FROM lineitem) AS fallback FROM part JOIN supplier ON s_suppkey = p_partkey % (SELECT count(*) FROM supplier)")
+def form_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with the supplier that their number names: the pair if it was ever bought, else the part; every tenth part has no name."""
+    parts, suppliers = _read(spark, sf_dir, "part"), _read(spark, sf_dir, "supplier")
+    n = suppliers.count()
+    refs = parts.select(F.col("p_partkey").cast("string").alias("name"), (F.col("p_partkey") % n).alias("s_suppkey")).join(suppliers, "s_suppkey").select("name", F.col("s_suppkey").cast("string").alias("code"))
+    names = parts.where("p_partkey % 10 <> 0").select(F.col("p_partkey").cast("string").alias("name"), F.col("p_partkey").cast("string").alias("base"))
+    forms = _read(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_partkey", "l_suppkey").alias("id"))
+    return reference.resolve_forms(refs, names, forms)
+
+
+@query("SELECT o_custkey AS key, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY 1")
+def unowned_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    owners = _read(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("key"))
+    return reference.unowned(_read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key")), owners, ["key"])
+
+
+@query("SELECT 'event_type' AS dimension, coalesce(event_type, 'none') AS value, count(*) AS n FROM events GROUP BY 2 UNION ALL SELECT 'large', coalesce(CASE WHEN value > 50 THEN 'yes' END, 'none'), count(*) FROM events GROUP BY 2")
+def dimension_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reference.case_counts(_read(spark, sf_dir, "events").withColumn("large", F.when(F.col("value") > 50, "yes")), ["event_type", "large"])
+
+
+@query("WITH t AS (SELECT n_name AS title, r_name AS target FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0), c AS (SELECT n_name AS title FROM nation UNION ALL SELECT r_name FROM region UNION ALL SELECT 'X' || s_name FROM supplier), to_ AS (SELECT c.title, coalesce(t.target, c.title) AS target FROM c LEFT JOIN t USING (title)) SELECT title, CASE WHEN target = 'ASIA' THEN 'not_a_location' WHEN target IN (SELECT r_name FROM region) THEN 'location' WHEN target IN (SELECT n_name FROM nation) THEN 'not_a_location' ELSE 'unknown_location' END AS verdict, regexp_replace(replace(CASE WHEN target = 'ASIA' OR target IN (SELECT n_name FROM nation) THEN title ELSE target END, '_', ' '), '#.*$', '') AS page FROM to_")
+def location_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions as locations but for a foreign one, every second nation as a redirect to its region, other nations as other pages, suppliers unknown."""
+    nations = _read(spark, sf_dir, "nation").join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    text = F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("#REDIRECT [["), F.col("r_name"), F.lit("]]"))).otherwise("a nation")
+    regions = _read(spark, sf_dir, "region").select(F.col("r_name").alias("title"))
+    pages = nations.select(F.col("n_name").alias("title"), text.alias("wikitext")).unionByName(regions.withColumn("wikitext", F.lit("{{Place}} a region")))
+    index = reference.location_index(pages, regions.where("title = 'ASIA'"), ["place"])
+    candidates = pages.select("title").union(_read(spark, sf_dir, "supplier").select(F.concat(F.lit("X"), F.col("s_name"))))
+    return reference.classify_locations(candidates, index)
