@@ -13,6 +13,7 @@ The trees are fitted to pages that this module makes up, of known main text:
 
 from __future__ import annotations
 
+import functools
 import html
 import random
 import re
@@ -40,7 +41,7 @@ _ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^'
 _HIDDEN = re.compile(r"\shidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 # fixed values: element names of HTML
-_SKIPPED = frozenset("script style noscript template svg math head iframe object canvas audio video map select datalist textarea button".split())
+_SKIPPED = frozenset("script style noscript template svg head iframe object canvas audio video map select datalist textarea button".split())
 _RAW = frozenset("script style noscript template iframe textarea title".split())
 _BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul caption".split()
@@ -429,8 +430,9 @@ def _labels(page: Page, wanted: list[str]) -> np.ndarray:
     return out
 
 
+@functools.cache
 def fit(pages: int = PAGES, seed: int = 0) -> boosting.Trees:
-    """Trees fitted to ``pages`` made-up pages; equal arguments give equal trees."""
+    """Trees fitted to ``pages`` made-up pages; equal arguments give equal trees, which a process fits once."""
     made = [made_up_page(seed + k) for k in range(pages)]
     parsed = [parse(source) for source, _ in made]
     x, _ = features(parsed)
