@@ -68,13 +68,30 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("title", F.col("ns").alias("namespace"), F.col("id").alias("page_id"), F.col("revision.id").alias("revision_id"), "revision.timestamp", digest.alias("sha1"), text.alias("wikitext"), (F.sha1(text) == digest).alias("intact"))
 
 
-def commit_graph(spark: SparkSession, graph: Graph, root: str) -> str:
-    """Writes a snapshot, partitioned by universe, then moves the pointer to it: readers see the old one or the new one."""
+class StaleSnapshot(RuntimeError):
+    """Another writer has moved the pointer since the snapshot that a write started from."""
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version that the pointer names; null where nothing was committed yet."""
+    path = f"{root}/current.json"
+    _, target, fs = _hadoop(spark, path)
+    return _read_json(spark, path)["version"] if fs.exists(target) else None
+
+
+def commit_graph(spark: SparkSession, graph: Graph, root: str, after: str | None = None) -> str:
+    """Writes a snapshot, partitioned by universe, then moves the pointer to it: readers see the old one or the new one.
+
+    ``after`` is the version that the write started from; if the pointer has
+    moved since, the write is refused and the snapshot stays unnamed.
+    """
     version = uuid.uuid4().hex
     graph.nodes.write.partitionBy("universe").parquet(f"{root}/{version}/nodes")
     graph.edges.write.partitionBy("universe", "type").parquet(f"{root}/{version}/edges")
     about = {"version": version, "nodes": graph.nodes.schema.jsonValue(), "edges": graph.edges.schema.jsonValue()}
     _write_text(spark, f"{root}/{version}/schema.json", json.dumps(about))
+    if after is not None and current_version(spark, root) != after:
+        raise StaleSnapshot(f"{root} has moved on from {after}")
     replace_file(spark, f"{root}/current.json", json.dumps({"version": version}))
     return version
 

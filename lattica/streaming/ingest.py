@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lattica.operators.graph import Graph
-from lattica.operators.write import merge_nodes
-from lattica.sources.tables import commit_graph, read_graph
+from lattica.operators.graph import NODE_KEY, Graph
+from lattica.operators.write import duplicate_keys, merge_nodes
+from lattica.sources.tables import commit_graph, current_version, read_graph
 
 
 def event_counts(events: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
@@ -23,16 +23,22 @@ def event_counts(events: DataFrame, late: str = "10 minutes", width: str = "1 ho
 def ingest_nodes(stream: DataFrame, root: str, ontology_labels: list[str], checkpoint: str, check: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Upserts micro-batches of nodes into the graph at ``root``, each as a new snapshot.
 
-    A batch that ``check`` finds violations in is refused as a whole. A batch
-    that is replayed after a failure changes nothing, since merging is
-    idempotent.
+    A batch that repeats keys or that ``check`` finds violations in is refused
+    as a whole, and what was found is kept at ``root``/refused. A batch that is replayed after a
+    failure changes nothing, since merging is idempotent. If another writer
+    commits meanwhile, the batch fails and is replayed on what that one wrote.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         spark: SparkSession = batch.sparkSession
-        if batch.isEmpty() or (check is not None and not check(batch).isEmpty()):
+        if batch.isEmpty():
             return
-        old = read_graph(spark, root)
-        commit_graph(spark, Graph(merge_nodes(old.nodes, batch, ontology_labels), old.edges), root)
+        for reason in (lambda rows: duplicate_keys(rows, NODE_KEY, "leaf"), check):
+            if reason is not None and not (found := reason(batch)).isEmpty():
+                found.write.mode("overwrite").parquet(f"{root}/refused/batch={number}")
+                return
+        version = current_version(spark, root)
+        old = read_graph(spark, root, version)
+        commit_graph(spark, Graph(merge_nodes(old.nodes, batch, ontology_labels), old.edges), root, after=version)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -118,6 +118,12 @@ def test_snapshots_and_stream(spark, tmp_path):
     got = {r.id: r.props for r in tables.read_graph(spark, root).nodes.collect()}
     assert set(got) == {"alpha", "red"} and (got["alpha"].serial, got["alpha"].weight) == (1, 2.0)
     assert tables.read_graph(spark, root, first).nodes.count() == 1
+    with pytest.raises(tables.StaleSnapshot):
+        tables.commit_graph(spark, Graph(nodes, spark.createDataFrame([], EDGES)), root, after=first)
+    now = tables.current_version(spark, root)
+    more.union(more).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    ingest_nodes(stream, root, ["Gadget", "Color"], str(tmp_path / "check")).awaitTermination()
+    assert tables.current_version(spark, root) == now and {r.id for r in spark.read.parquet(root + "/refused").collect()} == {"alpha", "red"}
 
 
 def test_event_windows(spark):
@@ -132,6 +138,17 @@ def test_name_lookup(spark):
     assert got[0, 1] == "pikachu" and got[1, 1] == "mew" and not [k for k in got if k[0] == 2]
 
 
+def test_aliases_and_the_score_floor(spark):
+    kind = "universe string, key_label string, id string, leaf string, labels array<string>, name string, props struct<aliases:array<string>>"
+    rows = [("t", "G", f"n{i}", "G", ["G"], f"name{i}", ([f"other{i}", "shared"],)) for i in range(60)]
+    nodes = spark.createDataFrame(rows, kind)
+    asked = spark.createDataFrame([(0, "other7", None), (1, "name7", None), (2, "shared", None)], "position int, mention string, label string")
+    got = {(r.position, r.rank): (r.id, r.score) for r in resolve.look_up(asked, nodes).collect()}
+    assert got[0, 1][0] == "n7" and got[1, 1][0] == "n7" and got[1, 1][1] > got[0, 1][1]
+    floored = resolve.look_up(asked, nodes, resolve.SCORE_FLOOR).collect()
+    assert floored and all(r.score >= resolve.SCORE_FLOOR and r.position == 1 for r in floored)
+
+
 def test_precision_and_recall_of_nothing(spark):
     rows = lambda *x: spark.createDataFrame(list(x), "question int, node string")
     asked = spark.createDataFrame([(1,), (2,), (3,), (4,)], "question int")
