@@ -185,6 +185,11 @@ def templates(pages: pa.Array) -> pa.Array:
     return pa.array([None if p is None else [{"name": n, "params": list(v.items())} for _, _, b in find_templates(_COMMENT.sub("", p)) for n, v in [read_template(b)]] for p in pages.to_pylist()], pa.list_(_TEMPLATE))
 
 
+@F.arrow_udf(T.ArrayType(_S))
+def page_categories(pages: pa.Array) -> pa.Array:
+    return pa.array([[] if p is None else categories(p) for p in pages.to_pylist()], pa.list_(pa.string()))
+
+
 @F.arrow_udf(_S)
 def plain(pages: pa.Array) -> pa.Array:
     return pa.array([None if p is None else plain_text(p) for p in pages.to_pylist()], pa.string())
