@@ -547,12 +547,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     rows = written(_components(docs).where("doc_id is not null"), "jaccard-rows")
     ids = rows.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("least"))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    of_least = packed.join(ids.where("least"), "doc_id")
-    once = of_least.where("rows = 1").select("row.*")
+    # columns take plain names of their own; both ways below read the same ones, so that texts travel once
+    own = [f"c{k}" for k in range(len(docs.columns))]
+    id_, text = (own[docs.columns.index(c)] for c in ("doc_id", "text"))
+    named = docs.toDF(*own).withColumn("doc_id", F.col(id_).cast("long"))
+    of_least = named.join(ids.where("least"), "doc_id")
+    once = of_least.where("rows = 1").select(*own)
     kept = rows.where("doc_id = component_id").groupBy("doc_id", "part").agg(F.min("node").alias("kept")).drop("part")
-    repeated = of_least.where("rows > 1").withColumn("key", _set_keys(F.col("text")))
+    repeated = of_least.where("rows > 1").withColumn("key", _set_keys(F.col(text)))
     chosen = repeated.join(kept, (repeated["doc_id"] == kept["doc_id"]) & repeated["key"].eqNullSafe(kept["kept"]), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy("text"))
-    repeated = chosen.withColumn("nth", first).where("nth = 1").select("row.*")
+    first = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy(text))
+    repeated = chosen.withColumn("nth", first).where("nth = 1").select(*own)
+    once, repeated = once.toDF(*docs.columns), repeated.toDF(*docs.columns)
     return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))

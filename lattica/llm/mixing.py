@@ -109,16 +109,14 @@ def mix(docs: DataFrame, **options: object) -> DataFrame:
     key = ["doc_id", "source", "size"]
     wanted = plan.groupBy(*key).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows")).where("copies > 0")
     size = options.get("size")
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col(id_column).alias("doc_id"),
-        F.col(source_column).alias("source"),
-        (word_count(F.col("text")) if size is None else size).cast("long").alias("size"),  # type: ignore[attr-defined]
-        F.md5(F.col("text").cast("binary")).alias("text"),
-    )
+    # columns take plain names of their own; both ways below read the same ones, so that texts travel once
+    own = [f"c{k}" for k in range(len(docs.columns))]
+    at = dict(zip(docs.columns, own, strict=True))
+    words = (word_count(F.col("text")) if size is None else size).cast("long")  # type: ignore[attr-defined]
+    named = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in at.items()], F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"), words.alias("size"))
     same = [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in key]
-    out = packed.alias("d").join(wanted.alias("w"), same).select(*[f"d.{c}" for c in packed.columns], "w.copies", "w.rows")
-    alike = Window.partitionBy(*key).orderBy("text")
+    out = named.alias("d").join(wanted.alias("w"), same).select(*[f"d.{c}" for c in named.columns], "w.copies", "w.rows")
+    alike = Window.partitionBy(*key).orderBy(at["text"])
     shared = out.where("rows > 1").withColumn("nth", F.row_number().over(alike)).withColumn("copies", F.expr("copies div rows + int(nth <= copies % rows)")).drop("nth")
     out = out.where("rows = 1").unionByName(shared).where("copies > 0")
-    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    return out.select(*own, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*own).toDF(*docs.columns)
