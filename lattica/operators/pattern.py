@@ -82,6 +82,47 @@ def without_match(rows: DataFrame, matches: DataFrame, variables: list[str]) ->
     return rows.join(found, same, "left_anti")
 
 
+#: Nodes that :func:`pairs_apart` broadcasts at most, with their ids and what they must not share; more are joined by sorting.
+SMALL = 200_000
+
+
+def pairs_apart(graph: Graph, label: str, meet: tuple[str, str], apart: tuple[str, str], start: str, end: str, *, blocks: int | None = None, small: int = SMALL) -> DataFrame:
+    """Pairs of different nodes with ``label`` that reach a common node by ``meet`` and none by ``apart``, each pair once in either order.
+
+    ``meet`` and ``apart`` are (type, direction). ``start`` and ``end`` have
+    universe, key_label and id, as the edges name them; nodes themselves aren't
+    looked up. Edges without an end reach nothing, repeated ones count once.
+
+    Two nodes may meet at many others, so paths outnumber pairs by far and
+    never travel. Nodes are numbered in order of their ids and cut into
+    ``blocks``. The sorted numbers of those that meet somewhere go once to each
+    block that has one of them, from its first one on: there every pair whose
+    lesser number is of that block is made and deduplicated, whatever it meets
+    at. No list is longer than the pairs that it makes for each of its nodes.
+    """
+    spark = graph.edges.sparkSession
+    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    steps = lambda of: _steps(graph, *of).where((F.col("a_label") == label) & F.col("a_id").isNotNull() & F.col("b_id").isNotNull()).select("universe", "a_id", "b_label", "b_id")
+    near = steps(apart).groupBy("universe", "a_id").agg(F.collect_set(F.concat_ws("\x01", "b_label", "b_id")).alias("_near"))
+    nodes = steps(meet).select("universe", "a_id").distinct().join(near, ["universe", "a_id"], "left")
+    nodes = nodes.repartitionByRange(blocks, "universe", "a_id").sortWithinPartitions("universe", "a_id")
+    # a number is its block, shifted by 33 bits, plus a place within it
+    nodes = _kept(nodes.select("universe", "a_id", F.coalesce("_near", F.array().cast("array<string>")).alias("_near"), F.monotonically_increasing_id().alias("_n")))
+    hint = F.broadcast if nodes.count() <= small else (lambda df: df)
+    block = lambda n: F.shiftright(n, 33)
+    at = steps(meet).join(hint(nodes.select("universe", "a_id", "_n")), ["universe", "a_id"]).select("universe", "b_label", "b_id", "_n")
+    lists = at.repartition("universe", "b_label", "b_id").groupBy("universe", "b_label", "b_id").agg(F.array_sort(F.collect_set("_n")).alias("_all")).select("_all")
+    sent = lists.where(F.size("_all") > 1).select("_all", F.explode(F.array_distinct(F.transform("_all", block))).alias("_block"))
+    sent = sent.select("_block", F.filter("_all", lambda n: block(n) >= F.col("_block")).alias("_rest")).where(F.size("_rest") > 1)
+    sent = sent.repartitionById(blocks, F.col("_block").cast("int"))
+    pairs = sent.select("_block", "_rest", F.posexplode(F.filter("_rest", lambda n: block(n) == F.col("_block"))).alias("_at", "_a"))
+    pairs = pairs.select("_block", "_a", F.explode(F.slice("_rest", F.col("_at") + 2, F.size("_rest"))).alias("_b")).distinct()
+    side = lambda x: nodes.select(F.col("_n").alias(f"_{x}"), F.struct("universe", F.lit(label).alias("key_label"), F.col("a_id").alias("id")).alias(f"_node_{x}"), F.col("_near").alias(f"_near_{x}"))
+    pairs = pairs.select("_a", "_b").join(hint(side("a")), "_a").join(hint(side("b")), "_b").where(~F.arrays_overlap("_near_a", "_near_b"))
+    either = F.array(*[F.struct(F.col(f"_node_{x}").alias(start), F.col(f"_node_{y}").alias(end)) for x, y in ("ab", "ba")])
+    return pairs.select(F.explode(either).alias("_pair")).select(f"_pair.{start}", f"_pair.{end}")
+
+
 def without_greater(rows: DataFrame, group: str, value: Column) -> DataFrame:
     """Rows than which none of the same ``group`` has a greater value: the group's greatest decides for all of it, without pairs. A null value is neither greater nor less."""
     best = rows.groupBy(group).agg(F.max(value).alias("_best"))

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lattica.operators import introspect, pattern, write
-from lattica.operators.graph import EDGE_KEY, NODE_KEY, Graph
-from lattica.plans.projection import ANCESTORS, UNIVERSE, graph
+from lattica.operators.graph import EDGE_KEY, NODE_KEY, Graph, edge_rows
+from lattica.plans.projection import ANCESTORS, EDGE_FIELDS, UNIVERSE, graph
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,12 +108,10 @@ def not_exists_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH e AS (SELECT DISTINCT l_partkey p, l_suppkey s FROM lineitem) SELECT DISTINCT a.s::VARCHAR AS id, b.s::VARCHAR AS other FROM e a JOIN e b ON a.p = b.p AND a.s <> b.s WHERE NOT EXISTS (SELECT 1 FROM supplier x JOIN supplier y ON x.s_nationkey = y.s_nationkey WHERE x.s_suppkey = a.s AND y.s_suppkey = b.s)")
 def not_exists_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers that share a part and no nation."""
-    g = graph(spark, sf_dir, ("Part", "Supplier", "Nation"), ("SUPPLIED_BY", "IN_NATION"))
-    pairs = pattern.expand_keys(g, pattern.scan(g, "s", "Supplier"), "s", "SUPPLIED_BY", "p", direction="in")
-    pairs = pattern.expand_keys(g, pairs, "p", "SUPPLIED_BY", "o").where("o.id <> s.id")
-    pairs = pairs.select("s", "o").dropDuplicates(["s", "o"])
-    meet = pattern.expand_keys(g, pattern.expand_keys(g, pairs, "s", "IN_NATION", "n"), "n", "IN_NATION", "o2", direction="in")
-    return pattern.without_match(pairs, meet.where("o2.id = o.id and o2.key_label = o.key_label"), ["s", "o"]).select("s.id", F.col("o.id").alias("other"))
+    g = graph(spark, sf_dir, ("Nation",), ("IN_NATION",))
+    supplied = edge_rows(_read(spark, sf_dir, "lineitem"), UNIVERSE, "SUPPLIED_BY", ("Part", F.col("l_partkey")), ("Supplier", F.col("l_suppkey")), {}, EDGE_FIELDS)  # an edge for each line: repeated ones count once
+    pairs = pattern.pairs_apart(Graph(g.nodes, g.edges.unionByName(supplied)), "Supplier", ("SUPPLIED_BY", "in"), ("IN_NATION", "out"), "s", "o")
+    return pairs.select("s.id", F.col("o.id").alias("other"))
 
 
 @query("SELECT c_custkey::VARCHAR AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 380000)")
