@@ -112,3 +112,22 @@ def test_scores_repeat(spark, folder):
     twice = docs.union(docs.selectExpr("doc_id", "concat(text, ' more')", "lang", "source", "n_chars"))
     a, b = toxicity.fit(twice, labels), toxicity.fit(twice.repartition(7), labels.repartition(5))
     assert a.toxic == b.toxic and a.ordinary == b.ordinary and a.weights.tolist() == b.weights.tolist()
+
+
+def test_every_labelled_text_trains(spark, monkeypatch):
+    """A word of toxic texts that come late in the order of hashes, as short texts and as texts of over 100 kB."""
+    ids = [i for i in range(8000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic = sorted((i for i in ids if i % 2), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    late = set(toxic[1500 : int(len(toxic) * toxicity.FIT) - 5])
+    assert len(late) > 50
+    rows = [(i, f"plain words here {'vilest' * (i % 2)} {'qzxlate' if i in late else ''}") for i in ids]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in ids], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert b"vilest" in model.toxic and b"qzxlate" in model.toxic
+    long = spark.createDataFrame(rows[:60], "doc_id long, text string").selectExpr("doc_id", "concat(text, repeat(' filler', 20000)) as text")
+    first = toxicity.fit(long, labels)
+    assert first.constant is None and b"vilest" in first.toxic
+    monkeypatch.setattr(toxicity, "AT_DRIVER", 0)
+    monkeypatch.setattr(toxicity, "CANDIDATES", 1)
+    again = toxicity.fit(long.repartition(5), labels)
+    assert again.toxic == first.toxic and again.weights.tolist() == first.weights.tolist()
